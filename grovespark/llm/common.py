@@ -50,7 +50,7 @@ class Workspace:
 
 def bounded_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch brings into a Python worker, by rows and by bytes."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 

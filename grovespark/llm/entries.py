@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from grovespark.llm import jaccard_join, line_dedup, quality, url_filters
+from grovespark.llm import ann, bpe, jaccard_join, langid, line_dedup, mixing, quality, toxicity, url_filters, warc
 
 QUERIES = {
     "op1_url_filters": url_filters.query,
     "op2_jaccard_join": jaccard_join.query,
     "op3_line_dedup": line_dedup.query,
+    "op4_ann": ann.query,
     "op5_quality": quality.query,
+    "op6_toxicity": toxicity.query,
+    "op7_warc": warc.query,
+    "op8_mixing": mixing.query,
+    "op9_bpe": bpe.query,
+    "op10_langid": langid.query,
 }
 
 ORACLES = {

@@ -18,9 +18,12 @@ component through the id; a null doc_id is never linked and has a null component
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +34,7 @@ from grovespark.llm.words import U, mix, shingle_rows
 
 #: Counters of the table of shingle counts: its size, and so what is broadcast, is fixed.
 SKETCH_BITS = 20
+CHUNK, FAN_IN = 1 << 14, 32
 #: The longest extension that a prefix may get.
 MOST_MATCHES = 4
 
@@ -57,21 +61,35 @@ def _count(k: int):
                 if n > 1 << 20:
                     flush()
         flush()
-        for at in range(0, len(counts), 1 << 14):
-            part = counts[at : at + (1 << 14)]
-            if part.any():
-                hit = np.flatnonzero(part)
-                yield pa.RecordBatch.from_arrays([pa.array(hit + at, pa.int32()), pa.array(part[hit], pa.int64())], ["bucket", "n"])
+        task = uuid.uuid4().hex
+        for i in range(0, len(counts), CHUNK):
+            yield pa.RecordBatch.from_arrays([pa.array([i // CHUNK], pa.int32()), pa.array([task], pa.string()), pa.array([zlib.compress(counts[i : i + CHUNK].tobytes(), 1)], pa.binary())], ["chunk", "task", "data"])
 
     return run
 
 
-def shingle_counts(docs: DataFrame, k: int) -> np.ndarray:
-    """Documents per counter over all documents: ``2 ** SKETCH_BITS`` counters, whatever the input's size."""
-    rows = docs.select("text").mapInArrow(_count(k), "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(1 << SKETCH_BITS, np.int64)
-    out[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
-    return np.minimum(out, 2**31 - 1).astype(np.int32)
+def _add(rows: pd.DataFrame) -> pd.DataFrame:
+    total = np.zeros(CHUNK, np.int64)
+    for data in rows["data"]:
+        total += np.frombuffer(zlib.decompress(data), np.int64)
+    return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "task": rows["task"].iloc[:1], "data": [zlib.compress(total.tobytes(), 1)]})
+
+
+def shingle_counts(docs: DataFrame, k: int, work: Workspace) -> np.ndarray:
+    """Documents per counter over all documents: ``2 ** SKETCH_BITS`` counters, whatever the input's size.
+
+    The counters of the tasks are added up in a tree whose nodes take about ``FAN_IN`` tables each.
+    """
+    schema, chunks = "chunk int, task string, data binary", (1 << SKETCH_BITS) // CHUNK
+    rows = work.save(docs.select("text").mapInArrow(_count(k), schema), "counts")
+    while (tables := rows.count() / chunks) > FAN_IN:
+        slot = F.pmod(F.xxhash64("task"), F.lit(int(np.ceil(tables / FAN_IN))))
+        rows = work.save(rows.groupBy("chunk", slot.alias("slot")).applyInPandas(lambda key, x: _add(x), schema), "counts")
+    out = np.zeros(1 << SKETCH_BITS, np.int32)
+    for r in rows.groupBy("chunk").applyInPandas(_add, schema).toLocalIterator():
+        own = np.frombuffer(zlib.decompress(r["data"]), np.int64)
+        out[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.minimum(own, 2**31 - 1)
+    return out
 
 
 def choose(size: int, need: int, frequency: np.ndarray, background: float) -> int:
@@ -150,7 +168,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     bounded_batches(spark)
     work = Workspace(spark, "jaccard")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = spark.sparkContext.broadcast(shingle_counts(docs, k))
+    sketch = spark.sparkContext.broadcast(shingle_counts(docs, k, work))
     per_doc = work.save(docs.mapInArrow(_prefixes(k, percent, sketch), "doc_id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, matches int, prefix array<bigint>"), "prefixes")
 
     same = ["n_shingles", "fp1", "fp2"]
