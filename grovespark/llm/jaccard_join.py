@@ -43,7 +43,9 @@ def _bucket(h: np.ndarray) -> np.ndarray:
     return (h >> U(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def _count(k: int):
+def _count(hashes):
+    """Counts, in the fixed table, what ``hashes`` gives of each batch (arrays of hashes)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, held, n = np.zeros(1 << SKETCH_BITS, np.int64), [], 0
 
@@ -55,7 +57,7 @@ def _count(k: int):
                 n = 0
 
         for b in batches:
-            for _, _, h in shingle_rows(b.column(0), k):
+            for h in hashes(b):
                 held.append(h)
                 n += len(h)
                 if n > 1 << 20:
@@ -75,13 +77,13 @@ def _add(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "task": rows["task"].iloc[:1], "data": [zlib.compress(total.tobytes(), 1)]})
 
 
-def shingle_counts(docs: DataFrame, k: int, work: Workspace) -> np.ndarray:
-    """Documents per counter over all documents: ``2 ** SKETCH_BITS`` counters, whatever the input's size.
+def counters(df: DataFrame, hashes, work: Workspace) -> np.ndarray:
+    """How many hashes fall on each counter, over all rows: ``2 ** SKETCH_BITS`` counters, whatever the input's size.
 
     The counters of the tasks are added up in a tree whose nodes take about ``FAN_IN`` tables each.
     """
     schema, chunks = "chunk int, task string, data binary", (1 << SKETCH_BITS) // CHUNK
-    rows = work.save(docs.select("text").mapInArrow(_count(k), schema), "counts")
+    rows = work.save(df.mapInArrow(_count(hashes), schema), "counts")
     while (tables := rows.count() / chunks) > FAN_IN:
         slot = F.pmod(F.xxhash64("task"), F.lit(int(np.ceil(tables / FAN_IN))))
         rows = work.save(rows.groupBy("chunk", slot.alias("slot")).applyInPandas(lambda key, x: _add(x), schema), "counts")
@@ -141,17 +143,33 @@ def _prefixes(k: int, percent: int, sketch):
     return run
 
 
-def _sets(k: int):
+def _id_hashes(b: pa.RecordBatch) -> list[np.ndarray]:
+    return [mix(b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(U))]
+
+
+def _sets(k: int, wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            b = b.filter(pa.array(wanted.value[_bucket(_id_hashes(b)[0])]))
             found = [(r, h.view(np.int64)) for r, _, h in shingle_rows(b.column(1), k)]
-            at = np.cumsum([0, *(len(h) for _, h in found)])
+            nth = np.cumsum([0, *(len(h) for _, h in found)])
             flat = np.concatenate([h for _, h in found]) if found else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([r for r, _ in found], pa.int32())), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int64()))], ["doc_id", "shingles"])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([r for r, _ in found], pa.int32())), pa.ListArray.from_arrays(pa.array(nth, pa.int32()), pa.array(flat, pa.int64()))], ["doc_id", "shingles"])
 
     return run
 
 
+def _whole_sets(docs: DataFrame, pairs: DataFrame, k: int, work: Workspace) -> DataFrame:
+    """(rep, shingles) of the documents in ``pairs``; texts are not shuffled.
+
+    A table of counters of their ids, of fixed size, keeps most other documents from being worked on; the join does the rest.
+    """
+    ids = work.save(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    wanted = docs.sparkSession.sparkContext.broadcast(counters(ids, _id_hashes, work) > 0)
+    sets = docs.where("doc_id IS NOT NULL").mapInArrow(_sets(k, wanted), "doc_id bigint, shingles array<bigint>").join(ids, "doc_id", "left_semi")
+    return work.save(sets.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep"), "sets")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
     joined = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
@@ -168,7 +186,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     bounded_batches(spark)
     work = Workspace(spark, "jaccard")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = spark.sparkContext.broadcast(shingle_counts(docs, k, work))
+    sketch = spark.sparkContext.broadcast(counters(docs.select("text"), lambda b: (h for _, _, h in shingle_rows(b.column(0), k)), work))
     per_doc = work.save(docs.mapInArrow(_prefixes(k, percent, sketch), "doc_id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, matches int, prefix array<bigint>"), "prefixes")
 
     same = ["n_shingles", "fp1", "fp2"]
@@ -177,17 +195,22 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     tokens = entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token")
     shared = work.save(entries.join(tokens, "token"), "entries")
 
-    # Whole sets, of the documents that share a prefix token with any other alone.
-    meeting = shared.select(F.col("rep").alias("doc_id")).distinct()
-    sets = work.save(docs.join(meeting, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets(k), "doc_id bigint, shingles array<bigint>").groupBy(F.col("doc_id").alias("rep")).agg(F.first("shingles").alias("shingles")), "sets")
+    slim = work.save(per_doc.drop("matches", "prefix"), "documents")
+    work.drop(per_doc)
+    # A pair that shares s prefix shingles shares at most s and what follows the prefix in one of the two sets.
+    rest = f"({percent} * n + 99) div 100 - matches"
+    shared = shared.withColumn("rest", F.expr(rest))
+    enough = f"100 * least(n, n_o) >= {percent} * greatest(n, n_o) AND s + greatest(rest, rest_o) >= ({percent} * (n + n_o) + {99 + percent}) div {100 + percent}"
 
     # Stars: in two orders of priority, each prefix shingle links its documents to the one of the highest priority.
     # The few documents that lead a group lead it in most of its shingles, so a document meets a handful of them.
-    fits = f"100 * least(n, n_hub) >= {percent} * greatest(n, n_hub)"
-    ranks = [F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "n")).alias(f"hub{turn}") for turn in range(2)]
-    hubs = work.save(shared.groupBy("token").agg(*ranks).select("token", F.explode(F.array_distinct(F.array(*(F.struct(f"hub{t}.rep", f"hub{t}.n") for t in range(2))))).alias("hub")).select("token", F.col("hub.rep").alias("a"), F.col("hub.n").alias("n_hub")), "hubs")
-    met = shared.join(hubs, "token").where("rep <> a").where(fits)
-    stars = work.save(_verified(work.save(met.select("a", F.col("rep").alias("b")).distinct(), "pairs"), sets, percent), "links")
+    hub = ["rep", "n", "rest"]
+    ranks = [F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), *hub)).alias(f"hub{turn}") for turn in range(2)]
+    hubs = shared.groupBy("token").agg(*ranks).select("token", F.explode(F.array_distinct(F.array(*(F.struct(*(f"hub{t}.{x}" for x in hub)) for t in range(2))))).alias("o"))
+    hubs = work.save(hubs.select("token", F.col("o.rep").alias("a"), F.col("o.n").alias("n_o"), F.col("o.rest").alias("rest_o")), "hubs")
+    met = shared.join(hubs, "token").where("rep <> a").groupBy("a", F.col("rep").alias("b")).agg(F.count("*").alias("s"), *(F.first(x).alias(x) for x in ("n", "rest", "n_o", "rest_o")))
+    pairs = work.save(met.where(enough).select("a", "b"), "pairs")
+    stars = work.save(_verified(pairs, _whole_sets(docs, pairs, k, work), percent), "links")
     labels = work.save(components(stars, work), "components")
 
     # Exact: in each prefix shingle that holds more than one component, the pairs of different components.
@@ -195,11 +218,11 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     own = work.save(own, "labelled")
     apart = own.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("token")
     own = work.save(own.join(apart, "token", "left_semi"), "apart")
-    left, right = (own.select("token", *(F.col(x).alias(f"{x}_{side}") for x in ("rep", "n", "matches", "c"))) for side in "ab")
-    met = left.join(right, "token").where("c_a <> c_b AND rep_a < rep_b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    counted = met.groupBy(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "c_a", "c_b").agg(F.count("*").alias("shared"), F.first(F.least("matches_a", "matches_b")).alias("ask")).where("shared >= ask")
-    counted = work.save(counted.select("a", "b", "c_a", "c_b"), "candidates")
-    found = _verified(counted, sets, percent).join(counted, ["a", "b"])
+    mine = ["rep", "n", "rest", "matches", "c"]
+    met = own.select("token", *mine).join(own.select("token", *(F.col(x).alias(f"{x}_o") for x in mine)), "token").where("c <> c_o AND rep < rep_o")
+    counted = met.groupBy(F.col("rep").alias("a"), F.col("rep_o").alias("b"), F.col("c").alias("c_a"), F.col("c_o").alias("c_b")).agg(F.count("*").alias("s"), F.first(F.least("matches", "matches_o")).alias("ask"), *(F.first(x).alias(x) for x in ("n", "rest", "n_o", "rest_o")))
+    counted = work.save(counted.where(f"s >= ask AND {enough}").select("a", "b", "c_a", "c_b"), "candidates")
+    found = _verified(counted.select("a", "b"), _whole_sets(docs, counted, k, work), percent).join(counted, ["a", "b"])
     joined = work.save(found.select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct(), "joined")
     if joined.isEmpty():
         merged = labels
@@ -209,8 +232,8 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
         merged = everyone.join(top.select(F.col("node").alias("component"), "to"), "component", "left").groupBy("node").agg(F.min(F.coalesce("to", "component")).alias("component"))
 
     member = reps.join(merged, reps["rep"] == merged["node"], "left").select(*same, F.coalesce("component", "rep").alias("component_id"))
-    empty = per_doc.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return per_doc.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", *same).join(work.save(member, "members"), same).select("doc_id", "n_shingles", "component_id").union(empty)
+    empty = slim.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return slim.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", *same).join(work.save(member, "members"), same).select("doc_id", "n_shingles", "component_id").union(empty)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
