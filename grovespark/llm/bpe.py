@@ -31,8 +31,10 @@ from grovespark.llm.transducer import Transducer, compile_words
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LEXICON_SIZE = 65_536
 #: Entries that a worker keeps of words and chunks it has seen; a bound on memory.
-KEPT = 300_000
+KEPT = 400_000
 LONG = 1 << 20
+#: Words of up to so many bytes are merged together; a rank above all ranks.
+WIDE, NEVER = 40, 2**31 - 1
 
 
 def byte_names() -> dict[int, str]:
@@ -63,6 +65,7 @@ class Codec:
         for rank, m in enumerate(data["model"]["merges"]):
             a, b = m if isinstance(m, list) else m.split(" ")
             self.merges.setdefault(vocab[a] << 32 | vocab[b], (rank, vocab[a + b]))
+        self._index_merges()
         self.split_special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.pattern = regex.compile(PATTERN)
         self.inner_space = re.compile(r" (?<=\s )(?:\s|\Z)")
@@ -92,6 +95,75 @@ class Codec:
             ids = out
         return ids
 
+    def _index_merges(self) -> None:
+        """The merges as a hash table of arrays: pair, rank, and the merged id by rank."""
+        pairs = np.array(list(self.merges), np.int64)
+        ranks = np.array([r for r, _ in self.merges.values()], np.int64)
+        self.merged = np.zeros(int(ranks.max(initial=-1)) + 1, np.int32)
+        self.merged[ranks] = [i for _, i in self.merges.values()]
+        bits = max(4, int(np.ceil(np.log2(len(pairs) * 4 + 1))))
+        self.shift, mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.slot_pair, self.slot_rank = np.full(1 << bits, -1, np.int64), np.full(1 << bits, NEVER, np.int32)
+        for pair, rank, slot in zip(pairs.tolist(), ranks.tolist(), self._slots(pairs).tolist(), strict=True):
+            while self.slot_pair[slot] >= 0:
+                slot = (slot + 1) & mask
+            self.slot_pair[slot], self.slot_rank[slot] = pair, rank
+
+    def _slots(self, pairs: np.ndarray) -> np.ndarray:
+        return ((pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair; NEVER where it doesn't merge or one side is missing (-1)."""
+        pairs = left.astype(np.int64) << 32 | right.astype(np.int64)
+        slot, out = self._slots(pairs), np.full(len(pairs), NEVER, np.int32)
+        todo = np.flatnonzero((left >= 0) & (right >= 0))
+        slot = slot[todo]
+        while len(todo):
+            found = self.slot_pair[slot]
+            hit = found == pairs[todo]
+            out[todo[hit]] = self.slot_rank[slot[hit]]
+            on = ~hit & (found >= 0)
+            todo, slot = todo[on], (slot[on] + 1) & (len(self.slot_pair) - 1)
+        return out
+
+    def merge_many(self, words: Sequence[bytes]) -> list[np.ndarray]:
+        """``merge`` of many words at once: each round merges the lowest pair of every word that has one."""
+        out: list = [None] * len(words)
+        lengths = np.array([len(w) for w in words])
+        for low, high in ((0, 8), (8, 16), (16, WIDE)):
+            own = np.flatnonzero((lengths > low) & (lengths <= high))
+            if not len(own):
+                continue
+            flat = np.frombuffer(b"".join([words[i] for i in own]), np.uint8)
+            inside = np.arange(high + 1) < lengths[own][:, None]
+            ids = np.full((len(own), high + 1), -1, np.int32)
+            ids[inside] = np.array(self.first, np.int32)[flat]
+            ranks = self._ranks(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(own), high)
+            cols = np.arange(high + 1)
+            while len(own):
+                best = ranks.argmin(axis=1)
+                each = np.arange(len(own))
+                rank = ranks[each, best]
+                going = rank < NEVER
+                for i, row in zip(own[~going].tolist(), ids[~going], strict=True):
+                    out[i] = row[row >= 0]
+                own, ids, ranks, best, rank = own[going], ids[going], ranks[going], best[going], rank[going]
+                if not len(own):
+                    break
+                each = np.arange(len(own))
+                ids[each, best] = self.merged[rank]
+                step = np.minimum(cols + (cols > best[:, None]), high)
+                ids = np.take_along_axis(ids, step, axis=1)
+                ids[:, -1] = -1
+                ranks = np.take_along_axis(ranks, np.minimum(step[:, :-1], high - 1), axis=1)
+                ranks[:, -1] = NEVER
+                ranks[each, best] = self._ranks(ids[each, best], ids[each, best + 1])
+                before = np.flatnonzero(best > 0)
+                ranks[before, best[before] - 1] = self._ranks(ids[before, best[before] - 1], ids[before, best[before]])
+        for i in np.flatnonzero(lengths > WIDE).tolist():
+            out[i] = np.array(self.merge(words[i]), np.int32)
+        return [np.zeros(0, np.int32) if x is None else x for x in out]
+
     def _learn(self, chunks: set[str]) -> None:
         """Put the ids of new chunks into the table of known chunks."""
         split = {c: self.pattern.findall(c) for c in chunks}
@@ -100,8 +172,10 @@ class Codec:
             self.words = {}
             new = list({w for ws in split.values() for w in ws})
         raw = [w.encode("utf-8", "surrogatepass") for w in new]
-        for w, b, ids in zip(new, raw, self.lexicon.find(raw) if self.lexicon else [None] * len(raw), strict=True):
-            self.words[w] = ids.tobytes() if ids is not None else np.array(self.merge(b), np.int32).tobytes()
+        known = self.lexicon.find(raw) if self.lexicon else [None] * len(raw)
+        self.words.update((w, ids.tobytes()) for w, ids in zip(new, known, strict=True) if ids is not None)
+        left = [i for i, ids in enumerate(known) if ids is None]
+        self.words.update((new[i], ids.tobytes()) for i, ids in zip(left, self.merge_many([raw[i] for i in left]), strict=True))
         words = self.words
         for c, ws in split.items():
             self.chunks[c] = b"".join([words[w] for w in ws])
