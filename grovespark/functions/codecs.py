@@ -8,6 +8,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from grovespark.model import BIT, RANK_LEVELS, SOURCE_IDS, mask
 
@@ -81,7 +82,7 @@ def print_qids(qids: Column) -> Column:
     return F.array_join(F.transform(qids, lambda q: print_qid(q)), ",")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _strip_marks(names: pd.Series) -> pd.Series:
     return names.map(lambda s: s if s is None else "".join(c for c in unicodedata.normalize("NFD", s) if unicodedata.category(c) not in ("Mn", "Lm", "Sk")))
 
