@@ -68,7 +68,8 @@ def split_budget(leaves: DataFrame, levels: Sequence[str], budget: Column, weigh
         # The level of water if all before are full: full while the supply lies below it; later ones share the rest alike.
         own = own.withColumns({"fair": (F.col("money") - F.coalesce(F.sum(f"supply_{k}").over(before), F.lit(0))) / F.sum("w").over(rest)})
         own = own.withColumn("short", F.col(f"supply_{k}") <= F.col("fair") * F.col("w"))
-        own = own.withColumn("water", F.min(F.when(~F.col("short"), F.struct(F.col(f"supply_{k}") / F.col("w"), "fair"))).over(Window.partitionBy(*up))["fair"])
+        # The first that is not full has the highest fair share of those that aren't: the supplies before it are all met.
+        own = own.withColumn("water", F.max(F.when(~F.col("short"), F.col("fair"))).over(Window.partitionBy(*up)))
         now = own.withColumn("given", F.when(F.col("short") | F.col("water").isNull(), F.col(f"supply_{k}").cast("double")).otherwise(F.col("water") * F.col("w"))).select(*levels[: k + 1], f"supply_{k}", "given")
     return work.save(now.select(*levels, F.floor(F.col("given") + 1e-6).cast("long").alias("allowed")), "budgets")
 
