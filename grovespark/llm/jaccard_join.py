@@ -191,7 +191,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
     same = ["n_shingles", "fp1", "fp2"]
     reps = work.save(per_doc.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("matches").alias("matches"), F.first("prefix").alias("prefix")), "representatives")
-    entries = reps.select("rep", F.col("n_shingles").alias("n"), "matches", F.explode("prefix").alias("token"))
+    entries = reps.select("rep", F.col("n_shingles").alias("n"), "matches", F.posexplode("prefix").alias("pos", "token"))
     tokens = entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token")
     shared = work.save(entries.join(tokens, "token"), "entries")
 
@@ -218,10 +218,18 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     own = work.save(own, "labelled")
     apart = own.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("token")
     own = work.save(own.join(apart, "token", "left_semi"), "apart")
-    mine = ["rep", "n", "rest", "matches", "c"]
-    met = own.select("token", *mine).join(own.select("token", *(F.col(x).alias(f"{x}_o") for x in mine)), "token").where("c <> c_o AND rep < rep_o")
-    counted = met.groupBy(F.col("rep").alias("a"), F.col("rep_o").alias("b"), F.col("c").alias("c_a"), F.col("c_o").alias("c_b")).agg(F.count("*").alias("s"), F.first(F.least("matches", "matches_o")).alias("ask"), *(F.first(x).alias(x) for x in ("n", "rest", "n_o", "rest_o")))
-    counted = work.save(counted.where(f"s >= ask AND {enough}").select("a", "b", "c_a", "c_b"), "candidates")
+    # Against a partner of at least its size a document needs a shorter prefix; a shared shingle's places bound what can be shared.
+    need = f"({percent} * (n + n_o) + {99 + percent}) div {100 + percent}"
+    mine = ["rep", "n", "matches", "c", "pos", "short"]
+    own = own.withColumn("short", F.expr(f"pos < n - ({2 * percent} * n + {99 + percent}) div {100 + percent} + matches"))
+    met = own.select("token", *mine).join(own.select("token", *(F.col(x).alias(f"{x}_o") for x in mine)), "token").where(
+        f"c <> c_o AND rep < rep_o AND 100 * least(n, n_o) >= {percent} * greatest(n, n_o) AND (short OR n > n_o) AND (short_o OR n_o > n) AND least(pos, pos_o) + least(n - pos, n_o - pos_o) >= {need}"
+    )
+    counted = met.groupBy(F.col("rep").alias("a"), F.col("rep_o").alias("b"), F.col("c").alias("c_a"), F.col("c_o").alias("c_b"), "n", "n_o").agg(F.count("*").alias("s"), F.first(F.least("matches", "matches_o")).alias("ask")).where("s >= ask")
+    # Then by all that the whole prefixes share.
+    side = reps.select("rep", "prefix", F.expr(f"({percent} * n_shingles + 99) div 100 - matches").alias("rest"))
+    counted = counted.join(side.select(F.col("rep").alias("a"), F.col("prefix").alias("pa"), F.col("rest").alias("ra")), "a").join(side.select(F.col("rep").alias("b"), F.col("prefix").alias("pb"), F.col("rest").alias("rb")), "b")
+    counted = work.save(counted.where(f"size(array_intersect(pa, pb)) + greatest(ra, rb) >= {need}").select("a", "b", "c_a", "c_b"), "candidates")
     found = _verified(counted.select("a", "b"), _whole_sets(docs, counted, k, work), percent).join(counted, ["a", "b"])
     joined = work.save(found.select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct(), "joined")
     if joined.isEmpty():
