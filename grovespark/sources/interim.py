@@ -15,11 +15,12 @@ NO_PARENT = ("null", "not found", "")
 
 
 def _fields(spark: SparkSession, path: str) -> tuple[DataFrame, list[str] | None]:
-    """Rows (file order ``line``, array ``f``) and the header, if the first row is one."""
+    """Rows (file order ``line``, array ``f``) and the header, if there is one."""
     lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("line"), F.split("value", r"\t\|\t?|\t").alias("f"))
-    first = lines.orderBy("line").limit(1).first()
-    head = [x.strip() for x in first["f"]] if first and any(x.strip() == "uid" for x in first["f"]) else None
-    return (lines.where(F.col("line") != first["line"]) if head else lines), head
+    # A written table comes in several files, so the header need not be read first.
+    is_head = F.array_contains("f", "uid") & F.array_contains("f", "name")
+    first = lines.where(is_head).limit(1).first()
+    return lines.where(~is_head), [x.strip() for x in first["f"]] if first else None
 
 
 def _column(head: list[str], name: str) -> Column:
