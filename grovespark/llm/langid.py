@@ -76,11 +76,9 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = np.zeros((b.num_rows, 1 << BITS), np.float32)
         for i, j, data, offsets in _rows(b.column(1)):
             for h, fits in grams(data, offsets):
-                row = np.repeat(np.arange(i, j), np.diff(offsets))
                 for r in range(i, j):
                     own = slice(offsets[r - i], offsets[r - i + 1])
                     x[r] += np.bincount(h[own][fits[own]], minlength=1 << BITS)
-                del row
         x /= np.maximum(x.sum(axis=1, keepdims=True), 1)
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary())], ["lang", "x"])
 

@@ -13,8 +13,6 @@ treated like any other; documents keep their other columns.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,8 +108,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 1, min_docs: int = 10, batches
     # The lines between two dropped positions are one slice, so the work grows with the lines alone.
     kept = F.expr("""array_join(flatten(transform(concat(array(-1), gone), (p, i) ->
         slice(split(coalesce(text, ''), '\\n'), p + 2, coalesce(get(gone, i), size(split(coalesce(text, ''), '\\n'))) - p - 1))), '\\n')""")
-    extra = {"n_lines": F.size(lines(F.col("text"))).cast("long"), "n_dropped": F.coalesce(F.size("gone"), F.lit(0)).cast("long"), "text": F.when(F.col("gone").isNotNull(), kept).otherwise(F.coalesce("text", F.lit("")))}
-    extra["n_dropped"] = F.when(F.col("gone").isNotNull(), F.size("gone")).otherwise(F.lit(0)).cast("long")
+    extra = {"n_lines": F.size(lines(F.col("text"))).cast("long"), "n_dropped": F.when(F.col("gone").isNotNull(), F.size("gone")).otherwise(F.lit(0)).cast("long"), "text": F.when(F.col("gone").isNotNull(), kept).otherwise(F.coalesce("text", F.lit("")))}
     return joined.select(*[c for c in docs.columns if c not in extra], *[c.alias(n) for n, c in extra.items()])
 
 
