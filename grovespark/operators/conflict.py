@@ -9,12 +9,11 @@ from grovespark.functions import paths
 from grovespark.storage import settle
 
 
-def tip_map(inputs: DataFrame, refs: DataFrame, matches: DataFrame) -> DataFrame:
+def tip_map(inputs: DataFrame, matches: DataFrame) -> DataFrame:
     """(pair, tip, ref): the matched nodes of ``inputs`` without a matched descendant; the smallest input per ref (C-1, C-2).
 
-    ``inputs`` and ``refs``: (pair, uid, path); ``matches``: (pair, tip, ref).
+    ``inputs``: (pair, uid, path); ``matches``: (pair, tip, ref).
     """
-    del refs
     m = matches.join(inputs.select("pair", F.col("uid").alias("tip"), "path"), ["pair", "tip"])
     covered = m.select("pair", F.explode(F.slice("path", F.lit(1), F.size("path") - 1)).alias("tip")).distinct()
     low = m.join(covered, ["pair", "tip"], "left_anti")
@@ -31,7 +30,7 @@ def induce(own: DataFrame, other: DataFrame, tips: DataFrame, a: str, b: str) ->
 def articulations(inputs: DataFrame, refs: DataFrame, matches: DataFrame) -> DataFrame:
     """(pair, uid, status, witness) of every input node with mapped tips (C-4, C-5, C-6)."""
     a, b = settle(inputs.select("pair", "uid", "path")), settle(refs.select("pair", "uid", "path"))
-    tips = settle(tip_map(a, b, matches))
+    tips = settle(tip_map(a, matches))
     there, back = settle(induce(a, b, tips, "tip", "ref")), settle(induce(b, a, tips, "ref", "tip"))
     n = there.join(a, ["pair", "uid"]).join(back.select("pair", F.col("uid").alias("image"), F.col("image").alias("bounce")), ["pair", "image"])
     n = n.join(a.select("pair", F.col("uid").alias("bounce"), F.col("path").alias("bounce_path")), ["pair", "bounce"])

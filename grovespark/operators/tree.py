@@ -120,16 +120,14 @@ def popular_ancestor(pathed: DataFrame, score: Column) -> DataFrame:
 
 def normalize_roots(tax: Taxonomy, counts: DataFrame) -> Taxonomy:
     """The largest root (``life`` first) stays; the others go under it as unplaced (H-16)."""
-    order = Window.orderBy((F.coalesce(F.col("name") == "life", F.lit(False))).desc(), F.desc("n_nodes"), "uid")
     roots = tax.nodes.where("parent_uid IS NULL").join(counts.select("uid", "n_nodes"), "uid")
     top = roots.orderBy(F.coalesce(F.col("name") == "life", F.lit(False)).desc(), F.desc("n_nodes"), "uid").limit(1).select(F.col("uid").alias("top"))
-    del order
     nodes = tax.nodes.join(F.broadcast(top))  # one row
     moved = F.col("parent_uid").isNull() & (F.col("uid") != F.col("top"))
     return tax.with_nodes(nodes.withColumn("proper_flags", F.when(moved, F.col("proper_flags").bitwiseOR(BIT["unplaced"])).otherwise(F.col("proper_flags"))).withColumn("parent_uid", F.when(moved, F.col("top")).otherwise(F.col("parent_uid"))).drop("top"))
 
 
-def hidden(pathless: bool = False) -> Column:
+def hidden() -> Column:
     """Whether a node is hidden: a suppressing flag, proper or inferred, and not forced visible (P-7)."""
     both = F.col("proper_flags").bitwiseOR(F.col("inferred_flags"))
     return codecs.has(both, SUPPRESSED) & ~codecs.has(both, BIT["forced_visible"])
@@ -172,10 +170,8 @@ def sample_tree(pathed: DataFrame, counts: DataFrame, root: str, k: int) -> Data
     proportion to their sizes, less what they got.
     """
     sized = descendants(pathed, root).join(counts.select("uid", "n_nodes"), "uid")
-    total = sized.where(F.col("uid") == root).select(F.col("n_nodes").alias("all"))
     quota = settle(sized.where(F.col("uid") == root).select("uid", F.least(F.lit(k), F.col("n_nodes")).cast("double").alias("quota")))
     out, order = quota, Window.partitionBy("parent_uid").orderBy(hidden(), "n_nodes", "uid")
-    del total
     whole = Window.partitionBy("parent_uid")
     ranked = settle(sized.where(F.col("uid") != root).withColumn("upto", F.sum("n_nodes").over(order)).withColumn("all", F.sum("n_nodes").over(whole)).select("uid", "parent_uid", "n_nodes", "upto", "all"))
     while True:
