@@ -10,22 +10,19 @@ from grovespark.functions import codecs, paths
 from grovespark.model import BIT, SPECIES, SUPPRESSED, Taxonomy
 from grovespark.storage import settle
 
-#: Rounds of pointer doubling: paths of up to 2 ** ROUNDS nodes.
-ROUNDS = 8
-
 
 def with_path(nodes: DataFrame) -> DataFrame:
     """``nodes`` with ``path`` (root first, the node last) and ``depth`` (H-3, H-4).
 
     Pointer doubling: each round joins every node with the node its path has reached, so a tree of depth d takes
-    log2(d) joins. Nodes on a cycle or under a missing parent get a null path.
+    log2(d) joins, however deep it is. Nodes on a cycle or under a missing parent get a null path.
     """
     t = settle(nodes.select("uid", F.col("parent_uid").alias("up"), F.array("uid").alias("path")))
-    for _ in range(ROUNDS):
-        if t.where("up IS NOT NULL").isEmpty():
-            break
+    while not t.where("up IS NOT NULL").isEmpty():
         above = t.select(F.col("uid").alias("u"), F.col("up").alias("upper"), F.col("path").alias("head"))
         going = t.where("up IS NOT NULL").join(above, F.col("up") == F.col("u")).select("uid", F.col("upper").alias("up"), F.concat("head", "path").alias("path"))
+        # A path that leads back into itself has no root; without it, a path doubles until it reaches one.
+        going = going.where("up IS NULL OR NOT array_contains(path, up)")
         t = settle(going.union(t.where("up IS NULL").select("uid", "up", "path")))
     done = t.where("up IS NULL").select("uid", "path", F.size("path").alias("depth"))
     return nodes.join(done, "uid", "left")
@@ -219,10 +216,14 @@ def integrity(tax: Taxonomy) -> DataFrame:
 def resolve_aliases(aliases: DataFrame) -> DataFrame:
     """Chains of aliases followed to their ends by pointer doubling; those on cycles are dropped (H-22)."""
     t = settle(aliases.select("id", F.col("replacement").alias("to")).where("id <> to").dropDuplicates(["id"]))
-    for _ in range(ROUNDS):
+    before = None
+    while True:
         nxt = t.join(t.select(F.col("id").alias("to"), F.col("to").alias("end")), "to", "left")
-        if nxt.where("end IS NOT NULL").isEmpty():
+        # While a chain goes on, each round reaches the end of one more at least; what never does is on a cycle.
+        going = nxt.where("end IS NOT NULL").count()
+        if going in (0, before):
             break
+        before = going
         t = settle(nxt.select("id", F.coalesce("end", "to").alias("to")))
     ends = t.select(F.col("id").alias("to"))
     return t.join(ends, "to", "left_anti").select("id", F.col("to").alias("replacement"))
