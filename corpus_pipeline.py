@@ -26,19 +26,32 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+def keyed(docs: DataFrame, work: Workspace) -> DataFrame:
+    """``docs`` written once with a key ``row`` for each row: ids may be null or repeated."""
+    return work.save(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "keyed", compression="zstd")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays (five words, 0.8): the one with the smallest doc_id."""
-    links = jaccard_join.link(docs, k=5, percent=80)
-    kept = links.where("component_id IS NULL OR doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").select(*COLUMNS)
+    """One row of each group of near duplicates stays (five words, 0.8): the one with the smallest doc_id.
+
+    Every row is a document of its own, by its text: of repeated rows one stays, null ids come last in their group, and
+    rows of one id with different texts are not near duplicates. Texts without words only repeat a row of their own id.
+    """
+    docs = keyed(docs, Workspace(spark, "near"))
+    links = jaccard_join.link(docs.select(F.col("row").alias("doc_id"), "text"), k=5, percent=80).withColumnRenamed("doc_id", "row")
+    wordless = "n_shingles = 0 AND doc_id IS NOT NULL"
+    group = [F.expr(f"CASE WHEN NOT ({wordless}) THEN component_id END").alias("group"), F.expr(f"CASE WHEN {wordless} THEN doc_id END").alias("own")]
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("row")
+    kept = links.join(docs.select("row", "doc_id"), "row").groupBy(*group).agg(first).select("row")
+    return docs.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Nine tenths of all tokens by the weights of the domain - language - source tree, each document at most once."""
-    docs = docs.select(*COLUMNS)
+    """Nine tenths of all tokens by the weights of the domain - language - source tree, each row at most once."""
+    docs = keyed(docs, Workspace(spark, "mix"))
     counted = mixing.with_domain(docs).withColumn("n_tokens", mixing.count_tokens(F.col("text")))
-    chosen = mixing.mix(counted, budget_share=0.9, epochs=1, seed=1, weight={"lang": mixing.language_weight()}).select("doc_id").distinct()
-    return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi").select(*COLUMNS)
+    chosen = mixing.mix(counted, budget_share=0.9, epochs=1, seed=1, weight={"lang": mixing.language_weight()}, key="row").select("row")
+    return docs.join(chosen, "row", "left_semi").select(*COLUMNS)
 
 
 def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,9 +32,9 @@ class Workspace:
         self.made += 1
         return f"{self.root}/{self.made:03d}-{label}"
 
-    def save(self, df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+    def save(self, df: DataFrame, label: str, partition_by: str | None = None, compression: str | None = None) -> DataFrame:
         """Write ``df`` as Parquet and return a frame that reads the written table."""
-        path, writer = self.path(label), df.write
+        path, writer = self.path(label), df.write.option("compression", compression) if compression else df.write
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.written_at = path

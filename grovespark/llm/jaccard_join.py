@@ -191,12 +191,12 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
     same = ["n_shingles", "fp1", "fp2"]
     reps = work.save(per_doc.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("matches").alias("matches"), F.first("prefix").alias("prefix")), "representatives")
+    slim = work.save(per_doc.drop("matches", "prefix"), "documents")
+    work.drop(per_doc)
     entries = reps.select("rep", F.col("n_shingles").alias("n"), "matches", F.posexplode("prefix").alias("pos", "token"))
     tokens = entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token")
-    shared = work.save(entries.join(tokens, "token"), "entries")
+    shared = held = work.save(entries.join(tokens, "token"), "entries")
 
-    slim = work.save(per_doc.drop("matches", "prefix"), "documents")
-    work.drop(per_doc)
     # A pair that shares s prefix shingles shares at most s and what follows the prefix in one of the two sets.
     rest = f"({percent} * n + 99) div 100 - matches"
     shared = shared.withColumn("rest", F.expr(rest))
@@ -210,14 +210,17 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     hubs = work.save(hubs.select("token", F.col("o.rep").alias("a"), F.col("o.n").alias("n_o"), F.col("o.rest").alias("rest_o")), "hubs")
     met = shared.join(hubs, "token").where("rep <> a").groupBy("a", F.col("rep").alias("b")).agg(F.count("*").alias("s"), *(F.first(x).alias(x) for x in ("n", "rest", "n_o", "rest_o")))
     pairs = work.save(met.where(enough).select("a", "b"), "pairs")
-    stars = work.save(_verified(pairs, _whole_sets(docs, pairs, k, work), percent), "links")
+    sets = _whole_sets(docs, pairs, k, work)
+    stars = work.save(_verified(pairs, sets, percent), "links")
+    work.drop(hubs, pairs, sets)
     labels = work.save(components(stars, work), "components")
 
     # Exact: in each prefix shingle that holds more than one component, the pairs of different components.
     own = shared.join(labels, shared["rep"] == labels["node"], "left").withColumn("c", F.coalesce("component", "rep")).drop("node", "component")
-    own = work.save(own, "labelled")
+    own = labelled = work.save(own, "labelled")
     apart = own.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("token")
-    own = work.save(own.join(apart, "token", "left_semi"), "apart")
+    own = separate = work.save(own.join(apart, "token", "left_semi"), "apart")
+    work.drop(held, labelled)
     # Against a partner of at least its size a document needs a shorter prefix; a shared shingle's places bound what can be shared.
     need = f"({percent} * (n + n_o) + {99 + percent}) div {100 + percent}"
     mine = ["rep", "n", "matches", "c", "pos", "short"]
@@ -230,8 +233,10 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     side = reps.select("rep", "prefix", F.expr(f"({percent} * n_shingles + 99) div 100 - matches").alias("rest"))
     counted = counted.join(side.select(F.col("rep").alias("a"), F.col("prefix").alias("pa"), F.col("rest").alias("ra")), "a").join(side.select(F.col("rep").alias("b"), F.col("prefix").alias("pb"), F.col("rest").alias("rb")), "b")
     counted = work.save(counted.where(f"size(array_intersect(pa, pb)) + greatest(ra, rb) >= {need}").select("a", "b", "c_a", "c_b"), "candidates")
-    found = _verified(counted.select("a", "b"), _whole_sets(docs, counted, k, work), percent).join(counted, ["a", "b"])
+    sets = _whole_sets(docs, counted, k, work)
+    found = _verified(counted.select("a", "b"), sets, percent).join(counted, ["a", "b"])
     joined = work.save(found.select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct(), "joined")
+    work.drop(separate, counted, sets)
     if joined.isEmpty():
         merged = labels
     else:

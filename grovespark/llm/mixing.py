@@ -74,16 +74,16 @@ def split_budget(leaves: DataFrame, levels: Sequence[str], budget: Column, weigh
     return work.save(now.select(*levels, F.floor(F.col("given") + 1e-6).cast("long").alias("allowed")), "budgets")
 
 
-def mix(docs: DataFrame, budget_share: float = 0.5, epochs: int = 1, seed: int = 1, levels: Sequence[str] = LEVELS, weight: Mapping[str, Column] | None = None) -> DataFrame:
+def mix(docs: DataFrame, budget_share: float = 0.5, epochs: int = 1, seed: int = 1, levels: Sequence[str] = LEVELS, weight: Mapping[str, Column] | None = None, key: str | None = None) -> DataFrame:
     """The chosen documents with ``n_tokens`` and ``epoch`` (from 1): ``budget_share`` of all tokens by the weights.
 
     Needs the columns of ``levels``, doc_id and n_tokens. A document's order within its leaf is the md5 of seed, epoch
-    and id, then its id.
+    and id, then its id, then its row. ``key``: a column of longs that tells rows apart, which the result keeps.
     """
     spark = docs.sparkSession
     work = Workspace(spark, "mixing")
     weight = weight or {}
-    slim = work.save(docs.select(*levels, "doc_id", "n_tokens").withColumn("row", F.monotonically_increasing_id()), "slim")
+    slim = work.save(docs.select(*levels, "doc_id", "n_tokens", (F.col(key) if key else F.monotonically_increasing_id()).alias("row")), "slim")
     leaves = work.save(slim.groupBy(*levels).agg((F.sum("n_tokens") * epochs).alias("supply"), F.sum("n_tokens").alias("once")), "leaves")
     total = leaves.agg(F.sum("once")).first()[0] or 0
     budgets = split_budget(leaves, levels, F.lit(float(total) * budget_share), weight, work)
@@ -107,7 +107,7 @@ def mix(docs: DataFrame, budget_share: float = 0.5, epochs: int = 1, seed: int =
     edge = met.where("upto > allowed")
     within = Window.partitionBy(*levels, "epoch", "bin").orderBy("o", "doc_id", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edge = edge.withColumn("sum", F.col("start") + F.sum("n_tokens").over(within)).where("sum <= allowed").select("row", "epoch")
-    return work.save(slim.join(inside.union(edge), "row").select(*levels, "doc_id", "n_tokens", "epoch"), "chosen")
+    return work.save(slim.join(inside.union(edge), "row").select(*levels, "doc_id", "n_tokens", "epoch", *([F.col("row").alias(key)] if key else [])), "chosen")
 
 
 def language_weight() -> Column:
