@@ -101,24 +101,21 @@ class Transducer:
             at = end
         self.keys, self.targets, self.skips, self.final, self.offsets, self.ids = found
 
-    def find(self, words: Sequence[bytes]) -> list[np.ndarray | None]:
-        """The ids of each word, or None where the automaton has no such word."""
-        if not words or not len(self.keys):
-            return [None] * len(words)
-        lengths = np.array([len(w) for w in words])
-        # Words of up to 64 bytes: a longer one is not in a lexicon of frequent words often enough to widen the table.
-        wide = min(64, int(lengths.max()))
-        fit = (lengths <= wide) & (lengths > 0)
-        table = np.array([w if ok else b"" for w, ok in zip(words, fit, strict=True)], f"S{wide}").view(np.uint8).reshape(len(words), wide)
-        state, index, alive = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), fit.copy()
-        for d in range(wide):
-            on = np.flatnonzero(alive & (lengths > d))
-            if not len(on):
-                break
-            key = state[on] * 256 + table[on, d]
+    def find(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The index of each word (bytes and their offsets), or -1 where the automaton has no such word."""
+        lengths = np.diff(at)
+        out = np.full(len(lengths), -1, np.int64)
+        if not len(self.keys):
+            return out
+        rows, state, index, d = np.flatnonzero(lengths > 0), np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64), 0
+        while len(rows):
+            key = state[rows] * 256 + data[at[rows] + d]
             e = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             ok = self.keys[e] == key
-            alive[on[~ok]] = False
-            state[on], index[on] = np.where(ok, self.targets[e], 0), index[on] + np.where(ok, self.skips[e], 0)
-        alive &= self.final[state] != 0
-        return [self.ids[self.offsets[i] : self.offsets[i + 1]] if ok else None for i, ok in zip(index.tolist(), alive.tolist(), strict=True)]
+            rows, e, d = rows[ok], e[ok], d + 1
+            state[rows], index[rows] = self.targets[e], index[rows] + self.skips[e]
+            end = lengths[rows] == d
+            final = rows[end & (self.final[state[rows]] != 0)]
+            out[final] = index[final]
+            rows = rows[~end]
+        return out
