@@ -24,14 +24,14 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grovespark.llm.common import Workspace, bounded_batches, table
+from grovespark.llm.common import Workspace, rebatch, table
 from grovespark.llm.transducer import Transducer, compile_words
 
 #: The byte-level pre-tokenizer's pattern; a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LEXICON_SIZE = 65_536
 #: Bytes of text that are worked on at once, and characters of a text beyond which it is cut into blocks.
-GROUP, LONG = 16 << 20, 1 << 20
+GROUP, LONG = 8 << 20, 1 << 20
 #: Words of up to so many bytes are merged together; a rank above all ranks.
 WIDE, NEVER = 40, 2**31 - 1
 #: Marks that end a chunk of letters as a word of their own.
@@ -354,22 +354,9 @@ def _codec(spec, lexicon) -> Codec:
     return _codecs[key]
 
 
-def grouped(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
-    """Batches put together until column ``at`` holds ``GROUP`` bytes: words that come again are worked on once."""
-    held, n = [], 0
-    for b in batches:
-        held.append(b)
-        n += b.column(at).nbytes
-        if n > GROUP:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, n = [], 0
-    if held and (whole := pa.Table.from_batches(held).combine_chunks().to_batches()):
-        yield whole[0]
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pattern = regex.compile(PATTERN)
-    for b in grouped(batches, 0):
+    for b in rebatch(batches, 0, GROUP):
         words, flat, _ = split_texts(b.column(0).cast(pa.large_string()).fill_null(""), pattern)
         n = np.bincount(flat, minlength=len(words))
         for i in range(0, len(n), 1 << 16):
@@ -402,7 +389,6 @@ def compile_lexicon(spec: bytes, words: Sequence[str]) -> bytes:
 def prepare(docs: DataFrame, tokenizer_path: str, lexicon_size: int = LEXICON_SIZE):
     """(broadcast tokenizer file, broadcast lexicon) for ``docs``: both of bounded size."""
     spark = docs.sparkSession
-    bounded_batches(spark)
     spec = Path(tokenizer_path).read_bytes()
     lexicon = compile_lexicon(spec, frequent_words(docs, lexicon_size)) if lexicon_size else b""
     return spark.sparkContext.broadcast(spec), spark.sparkContext.broadcast(lexicon)
@@ -416,7 +402,7 @@ def encode(docs: DataFrame, tokenizer_path: str, lexicon_size: int = LEXICON_SIZ
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(spec.value, lexicon.value)
-        for b in grouped(batches, at):
+        for b in rebatch(batches, at, GROUP):
             flat, ends = codec.encode(b.column(at))
             col = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in kept), col], [*(f.name for f in rest), column])
@@ -445,7 +431,7 @@ def digests(docs: DataFrame, tokenizer_path: str, lexicon_size: int = LEXICON_SI
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(spec.value, lexicon.value)
-        for b in grouped(batches, 1):
+        for b in rebatch(batches, 1, GROUP):
             n, forms = codec.forms(b.column(1))
             (ids, at), (back, to) = ((memoryview(data), ends.tolist()) for data, ends in forms.values())
             # A comma follows each id but the last; what is decoded is made valid as a decoder does it.

@@ -8,7 +8,7 @@ counts reach the limit over all runs are frequent; their lines go from every doc
 
 Defined cases: a null or empty text is one empty line with an empty key, shorter than any ``min_chars`` of 1 or more,
 so it stays; a text whose lines all go becomes empty; repeated rows count as documents of their own; null doc_ids are
-treated like any other; documents keep their other columns.
+treated like any other; documents keep their other columns, whatever their names (``n_lines`` and ``n_dropped`` are replaced).
 """
 
 from __future__ import annotations
@@ -16,17 +16,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grovespark.llm.common import SPACES, Workspace, ascii_lower, table
+from grovespark.llm.common import SPACES, Workspace, folded, same, spread_join, table, text_key
 
 
 def lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def key_hash(line: Column, min_chars: int) -> Column:
-    """The key's two hashes; null if the key is too short to count."""
-    key = ascii_lower(F.trim(line, F.lit(SPACES)))
-    return F.when(F.length(key) >= min_chars, F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(7), key).alias("h2")))
+def key_hashes(text: Column, min_chars: int) -> Column:
+    """The two hashes of every line's key, in order; null where the key is too short to count."""
+    trimmed = F.transform(lines(text), lambda x: F.trim(x, F.lit(SPACES)))
+    keys = F.transform(trimmed, lambda x: F.when(F.length(x) >= min_chars, folded(x)))
+    return F.transform(keys, lambda k: F.when(k.isNotNull(), F.struct(F.xxhash64(k).alias("h1"), F.xxhash64(F.lit(7), k).alias("h2"))))
 
 
 class LineRuns:
@@ -73,7 +74,7 @@ class LineRuns:
         return both.groupBy("h1", "h2").agg(F.sum("n").alias("n"))
 
     def frequent(self) -> DataFrame:
-        return self.work.save(self._sum(self.runs()).where(F.col("n") >= self.min_docs).select("h1", "h2"), "frequent")
+        return self.work.save(self._sum(self.runs()).where(F.col("n") >= self.min_docs).select("h1", "h2", "n"), "frequent")
 
     def close(self) -> None:
         for run in self.runs():
@@ -82,34 +83,41 @@ class LineRuns:
             self.work.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def frequent_keys(docs: DataFrame, min_chars: int, min_docs: int, batches: int, work: Workspace) -> DataFrame:
-    """The (h1, h2) of keys in at least ``min_docs`` documents, through ``batches`` batches."""
-    keys = F.array_distinct(F.filter(F.transform(lines(F.col("text")), lambda x: key_hash(x, min_chars)), lambda h: h.isNotNull()))
-    hashed = work.save(docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int").alias("batch"), F.explode(keys).alias("k")).select("batch", "k.h1", "k.h2"), "hashes", partition_by="batch")
+def frequent_keys(hashed: DataFrame, min_docs: int, batches: int, work: Workspace) -> DataFrame:
+    """(h1, h2, n) of keys in ``n``, at least ``min_docs``, documents, through ``batches`` batches of ``hashed`` (batch, keys)."""
     runs = LineRuns(work, min_docs)
     for b in range(batches):
-        runs.add(hashed.where(F.col("batch") == b).select("h1", "h2"))
+        runs.add(hashed.where(F.col("batch") == b).select(F.explode(F.array_distinct("keys")).alias("k")).where("k IS NOT NULL").select("k.h1", "k.h2"))
     out = runs.frequent()
     runs.close()
-    work.drop(hashed)
     return out
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 1, min_docs: int = 10, batches: int = 4) -> DataFrame:
-    """``docs`` with the cleaned ``text``, and ``n_lines``, ``n_dropped``. Each row is a document."""
+    """``docs`` with the cleaned ``text``, and ``n_lines``, ``n_dropped``. Each row is a document.
+
+    Lines are hashed once; what is written and joined are hashes. A line that a large share of all documents hold is
+    dealt to many tasks.
+    """
     work = Workspace(docs.sparkSession, "lines")
-    frequent = frequent_keys(docs, min_chars, min_docs, batches, work)
-    # A row is known by its id and its text: equal rows get equal answers.
-    row_key = [F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_t1"), F.xxhash64(F.lit(3), "text").alias("_t2")]
-    found = docs.select(*row_key, F.posexplode(F.transform(lines(F.col("text")), lambda x: key_hash(x, min_chars))).alias("at", "k")).select("_id", "_t1", "_t2", "at", "k.h1", "k.h2")
-    hit = found.where("h1 IS NOT NULL").join(frequent, ["h1", "h2"], "left_semi").groupBy("_id", "_t1", "_t2").agg(F.sort_array(F.collect_set("at")).alias("gone"))
-    own = docs.withColumns({"_i": F.col("doc_id"), "_u1": F.xxhash64("text"), "_u2": F.xxhash64(F.lit(3), "text")})
-    joined = own.join(work.save(hit, "gone"), F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_u1") == F.col("_t1")) & (F.col("_u2") == F.col("_t2")), "left")
+    # A row is known by its id and its text: equal rows get equal answers, though each counts as a document.
+    known = dict(zip(("id", "t1", "t2"), [F.col("doc_id"), *text_key()], strict=True))
+    hashed = docs.select(*(c.alias(n) for n, c in known.items()), key_hashes(F.col("text"), min_chars).alias("keys"))
+    hashed = work.save(hashed.withColumn("batch", F.pmod(F.xxhash64("id", "t1"), F.lit(batches)).cast("int")), "hashes", partition_by="batch")
+    frequent = frequent_keys(hashed, min_docs, batches, work)
+    found = hashed.select(*known, F.posexplode("keys").alias("at", "k")).where("k IS NOT NULL").select(*known, "at", "k.h1", "k.h2")
+    hit = spread_join(found, frequent.select("h1", "h2"), ["h1", "h2"], "left_semi", counts=frequent)
+    gone = work.save(hit.groupBy(*known).agg(F.sort_array(F.collect_set("at")).alias("gone")), "gone")
+    work.drop(hashed, frequent)
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *(c.alias(f"own_{n}") for n, c in known.items()))
+    joined = own.join(gone, same([F.col(f"own_{n}") for n in known], [F.col(n) for n in known]), "left")
     # The lines between two dropped positions are one slice, so the work grows with the lines alone.
     kept = F.expr("""array_join(flatten(transform(concat(array(-1), gone), (p, i) ->
-        slice(split(coalesce(text, ''), '\\n'), p + 2, coalesce(get(gone, i), size(split(coalesce(text, ''), '\\n'))) - p - 1))), '\\n')""")
-    extra = {"n_lines": F.size(lines(F.col("text"))).cast("long"), "n_dropped": F.when(F.col("gone").isNotNull(), F.size("gone")).otherwise(F.lit(0)).cast("long"), "text": F.when(F.col("gone").isNotNull(), kept).otherwise(F.coalesce("text", F.lit("")))}
-    return joined.select(*[c for c in docs.columns if c not in extra], *[c.alias(n) for n, c in extra.items()])
+        slice(split(coalesce(row.text, ''), '\\n'), p + 2, coalesce(get(gone, i), size(split(coalesce(row.text, ''), '\\n'))) - p - 1))), '\\n')""")
+    text, hits = F.coalesce("row.text", F.lit("")), F.col("gone").isNotNull()
+    n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    extra = {"n_lines": n_lines.cast("long"), "n_dropped": F.when(hits, F.size("gone")).otherwise(F.lit(0)).cast("long"), "text": F.when(hits, kept).otherwise(text)}
+    return joined.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in extra], *[c.alias(n) for n, c in extra.items()])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
