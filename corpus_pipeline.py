@@ -17,7 +17,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the row rules or their host's verdict reject go."""
-    return quality.judge(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
+    return quality.keep(docs.select(*COLUMNS))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
