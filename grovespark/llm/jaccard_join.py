@@ -7,13 +7,16 @@ set as prefix, where ``l`` is chosen per document: each longer prefix costs more
 only if it shares ``min(l, l')`` prefix shingles, so documents whose prefixes hit popular shingles lengthen them and
 ask for more shared ones. Pairs that share enough are verified on the whole sets.
 
-Equal sets are one representative. A group of n near copies never makes its n * n pairs: star-shaped
+Equal sets are one representative, with a key of its own (a document's id may be repeated or stand for several texts).
+A group of n near copies never makes its n * n pairs: star-shaped
 candidates (each prefix shingle links its documents to the ones of the highest priority) are verified first; then the
 exact round only joins documents that are not yet in one component, which loses no component.
 
 Defined cases: null, empty and all-space texts have size 0, link with nothing and are their own component; fewer
-than k words make one shingle of the whole sequence; rows of a repeated doc_id are one document each and share their
-component through the id; a null doc_id is never linked and has a null component; other columns are ignored.
+than k words make one shingle of the whole sequence; rows of a repeated doc_id are one document each, and texts that
+share an id share a component; a null doc_id is never linked and has a null component; other columns are ignored.
+
+Hot keys: a shingle, a group of equal sets or a document that links many others is dealt to many tasks (``spread_join``).
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grovespark.llm.common import Workspace, bounded_batches
+from grovespark.llm.common import Workspace, rebatch, spread_join
 from grovespark.llm.components import components
 from grovespark.llm.words import U, mix, shingle_rows
 
@@ -37,6 +40,8 @@ SKETCH_BITS = 20
 CHUNK, FAN_IN = 1 << 14, 32
 #: The longest extension that a prefix may get.
 MOST_MATCHES = 4
+#: What two documents with equal sets have in common.
+SAME = ("n_shingles", "fp1", "fp2")
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
@@ -113,19 +118,25 @@ def choose(size: int, need: int, frequency: np.ndarray, background: float) -> in
     return best
 
 
+def fingerprint(h: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set of hashes."""
+    if not len(h):
+        return 0, 0
+    with np.errstate(over="ignore"):
+        return int(np.add.reduce(h).astype(np.int64)), int(np.bitwise_xor.reduce(mix(h + U(0x5851F42D4C957F2D))).astype(np.int64))
+
+
 def _prefixes(k: int, percent: int, sketch):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = sketch.value
         background = float(np.median(table))
-        for b in batches:
-            ids, rows, sizes, fp1, fp2, matches, prefixes = b.column(0).to_pylist(), [], [], [], [], [], []
+        for b in rebatch(batches, 1):
+            order_of, sizes, prints, matches, prefixes = [], [], [], [], []
             for r, _, h in shingle_rows(b.column(1), k):
                 n = len(h)
-                rows.append(ids[r])
+                order_of.append(r)
                 sizes.append(n)
-                with np.errstate(over="ignore"):
-                    fp1.append(int(np.add.reduce(h).astype(np.int64)) if n else 0)
-                    fp2.append(int(np.bitwise_xor.reduce(mix(h + U(0x5851F42D4C957F2D))).astype(np.int64)) if n else 0)
+                prints.append(fingerprint(h))
                 if not n:
                     matches.append(0)
                     prefixes.append([])
@@ -138,41 +149,51 @@ def _prefixes(k: int, percent: int, sketch):
                 prefixes.append(h[order[: n - need + l]].view(np.int64))
             flat = np.concatenate([np.asarray(p, np.int64) for p in prefixes]) if prefixes else np.zeros(0, np.int64)
             at = np.cumsum([0, *map(len, prefixes)])
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(sizes, pa.int64()), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()), pa.array(matches, pa.int32()), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int64()))], ["doc_id", "n_shingles", "fp1", "fp2", "matches", "prefix"])
+            fp1, fp2 = zip(*prints, strict=True) if prints else ((), ())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(order_of, pa.int32())), pa.array(sizes, pa.int64()), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()), pa.array(matches, pa.int32()), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int64()))], ["doc_id", "n_shingles", "fp1", "fp2", "matches", "prefix"])
 
     return run
 
 
-def _id_hashes(b: pa.RecordBatch) -> list[np.ndarray]:
-    return [mix(b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(U))]
+def _print_hashes(b: pa.RecordBatch) -> list[np.ndarray]:
+    return [b.column(0).to_numpy().view(U)]
 
 
 def _sets(k: int, wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            b = b.filter(pa.array(wanted.value[_bucket(_id_hashes(b)[0])]))
-            found = [(r, h.view(np.int64)) for r, _, h in shingle_rows(b.column(1), k)]
+        for b in rebatch(batches, 0):
+            found = []
+            for _, _, h in shingle_rows(b.column(0), k):
+                if len(h):
+                    fp = fingerprint(h)
+                    if wanted.value[_bucket(np.array([fp[1]], np.int64).view(U))[0]]:
+                        found.append((fp, h.view(np.int64)))
             nth = np.cumsum([0, *(len(h) for _, h in found)])
             flat = np.concatenate([h for _, h in found]) if found else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([r for r, _ in found], pa.int32())), pa.ListArray.from_arrays(pa.array(nth, pa.int32()), pa.array(flat, pa.int64()))], ["doc_id", "shingles"])
+            sizes, fp1, fp2 = [len(h) for _, h in found], [f[0] for f, _ in found], [f[1] for f, _ in found]
+            yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64()), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()), pa.ListArray.from_arrays(pa.array(nth, pa.int32()), pa.array(flat, pa.int64()))], [*SAME, "shingles"])
 
     return run
 
 
-def _whole_sets(docs: DataFrame, pairs: DataFrame, k: int, work: Workspace) -> DataFrame:
-    """(rep, shingles) of the documents in ``pairs``; texts are not shuffled.
+def _whole_sets(docs: DataFrame, pairs: DataFrame, reps: DataFrame, k: int, work: Workspace) -> DataFrame:
+    """(rep, shingles) of the representatives in ``pairs``; texts are not shuffled.
 
-    A table of counters of their ids, of fixed size, keeps most other documents from being worked on; the join does the rest.
+    A table of counters of their fingerprints, of fixed size, keeps most other documents' sets from being sent; the join
+    does the rest. Of equal sets one is kept, before any shuffle too.
     """
-    ids = work.save(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    wanted = docs.sparkSession.sparkContext.broadcast(counters(ids, _id_hashes, work) > 0)
-    sets = docs.where("doc_id IS NOT NULL").mapInArrow(_sets(k, wanted), "doc_id bigint, shingles array<bigint>").join(ids, "doc_id", "left_semi")
-    return work.save(sets.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep"), "sets")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    keys = work.save(reps.select("rep", *SAME).join(ids, "rep", "left_semi"), "keys")
+    wanted = docs.sparkSession.sparkContext.broadcast(counters(keys.select("fp2"), _print_hashes, work) > 0)
+    sets = docs.select("text").mapInArrow(_sets(k, wanted), "n_shingles bigint, fp1 bigint, fp2 bigint, shingles array<bigint>")
+    one = sets.groupBy(*SAME).agg(F.first("shingles").alias("shingles"))
+    return work.save(one.join(keys, list(SAME)).select("rep", "shingles"), "sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
-    joined = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
+    """The pairs (a, b) of a written table whose whole sets are similar enough."""
+    joined = spread_join(pairs, sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), ["a"])
+    joined = spread_join(joined, sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), ["b"], counts=pairs.groupBy("b").agg(F.count("*").alias("n")), by=["a"])
     both = F.size(F.array_intersect("sa", "sb"))
     return joined.select("a", "b", "sa", "sb", both.alias("both")).where(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b")
 
@@ -183,19 +204,20 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     Two documents link if 100 * |A & B| >= ``percent`` * |A | B| for their sets of ``k``-word shingles.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
     work = Workspace(spark, "jaccard")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketch = spark.sparkContext.broadcast(counters(docs.select("text"), lambda b: (h for _, _, h in shingle_rows(b.column(0), k)), work))
     per_doc = work.save(docs.mapInArrow(_prefixes(k, percent, sketch), "doc_id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, matches int, prefix array<bigint>"), "prefixes")
 
-    same = ["n_shingles", "fp1", "fp2"]
-    reps = work.save(per_doc.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("matches").alias("matches"), F.first("prefix").alias("prefix")), "representatives")
+    full = per_doc.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    reps = full.groupBy(*SAME).agg(F.min("doc_id").alias("low"), F.count("*").alias("n_docs"), F.first("matches").alias("matches"), F.first("prefix").alias("prefix"))
+    reps = work.save(reps.withColumn("rep", F.monotonically_increasing_id()), "representatives")
     slim = work.save(per_doc.drop("matches", "prefix"), "documents")
     work.drop(per_doc)
-    entries = reps.select("rep", F.col("n_shingles").alias("n"), "matches", F.posexplode("prefix").alias("pos", "token"))
-    tokens = entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token")
-    shared = held = work.save(entries.join(tokens, "token"), "entries")
+    entries = work.save(reps.select("rep", F.col("n_shingles").alias("n"), "matches", F.posexplode("prefix").alias("pos", "token")), "entries")
+    tokens = work.save(entries.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "tokens")
+    shared = held = work.save(spread_join(entries, tokens.select("token"), ["token"], "left_semi", counts=tokens), "shared")
+    work.drop(entries)
 
     # A pair that shares s prefix shingles shares at most s and what follows the prefix in one of the two sets.
     rest = f"({percent} * n + 99) div 100 - matches"
@@ -208,10 +230,15 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     ranks = [F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), *hub)).alias(f"hub{turn}") for turn in range(2)]
     hubs = shared.groupBy("token").agg(*ranks).select("token", F.explode(F.array_distinct(F.array(*(F.struct(*(f"hub{t}.{x}" for x in hub)) for t in range(2))))).alias("o"))
     hubs = work.save(hubs.select("token", F.col("o.rep").alias("a"), F.col("o.n").alias("n_o"), F.col("o.rest").alias("rest_o")), "hubs")
-    met = shared.join(hubs, "token").where("rep <> a").groupBy("a", F.col("rep").alias("b")).agg(F.count("*").alias("s"), *(F.first(x).alias(x) for x in ("n", "rest", "n_o", "rest_o")))
+    met = spread_join(shared, hubs, ["token"], counts=tokens).where("rep <> a").groupBy("a", F.col("rep").alias("b")).agg(F.count("*").alias("s"), *(F.first(x).alias(x) for x in ("n", "rest", "n_o", "rest_o")))
     pairs = work.save(met.where(enough).select("a", "b"), "pairs")
-    sets = _whole_sets(docs, pairs, k, work)
-    stars = work.save(_verified(pairs, sets, percent), "links")
+    sets = _whole_sets(docs, pairs, reps, k, work)
+    # Texts that share an id are linked through it.
+    members = slim.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    several = members.groupBy("doc_id").agg(*(x for c in SAME for x in (F.min(c).alias(f"low_{c}"), F.max(c).alias(f"high_{c}")))).where(" OR ".join(f"low_{c} <> high_{c}" for c in SAME))
+    several = members.join(several, "doc_id", "left_semi").distinct().join(reps.select("rep", *SAME), list(SAME)).select("doc_id", "rep")
+    by_id = several.join(several.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id").where("rep <> a").select("a", F.col("rep").alias("b"))
+    stars = work.save(_verified(pairs, sets, percent).union(by_id), "links")
     work.drop(hubs, pairs, sets)
     labels = work.save(components(stars, work), "components")
 
@@ -219,13 +246,13 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     own = shared.join(labels, shared["rep"] == labels["node"], "left").withColumn("c", F.coalesce("component", "rep")).drop("node", "component")
     own = labelled = work.save(own, "labelled")
     apart = own.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("token")
-    own = separate = work.save(own.join(apart, "token", "left_semi"), "apart")
+    own = separate = work.save(spread_join(own, apart, ["token"], "left_semi", counts=tokens), "apart")
     work.drop(held, labelled)
     # Against a partner of at least its size a document needs a shorter prefix; a shared shingle's places bound what can be shared.
     need = f"({percent} * (n + n_o) + {99 + percent}) div {100 + percent}"
     mine = ["rep", "n", "matches", "c", "pos", "short"]
     own = own.withColumn("short", F.expr(f"pos < n - ({2 * percent} * n + {99 + percent}) div {100 + percent} + matches"))
-    met = own.select("token", *mine).join(own.select("token", *(F.col(x).alias(f"{x}_o") for x in mine)), "token").where(
+    met = spread_join(own.select("token", *mine), own.select("token", *(F.col(x).alias(f"{x}_o") for x in mine)), ["token"]).where(
         f"c <> c_o AND rep < rep_o AND 100 * least(n, n_o) >= {percent} * greatest(n, n_o) AND (short OR n > n_o) AND (short_o OR n_o > n) AND least(pos, pos_o) + least(n - pos, n_o - pos_o) >= {need}"
     )
     counted = met.groupBy(F.col("rep").alias("a"), F.col("rep_o").alias("b"), F.col("c").alias("c_a"), F.col("c_o").alias("c_b"), "n", "n_o").agg(F.count("*").alias("s"), F.first(F.least("matches", "matches_o")).alias("ask")).where("s >= ask")
@@ -233,7 +260,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     side = reps.select("rep", "prefix", F.expr(f"({percent} * n_shingles + 99) div 100 - matches").alias("rest"))
     counted = counted.join(side.select(F.col("rep").alias("a"), F.col("prefix").alias("pa"), F.col("rest").alias("ra")), "a").join(side.select(F.col("rep").alias("b"), F.col("prefix").alias("pb"), F.col("rest").alias("rb")), "b")
     counted = work.save(counted.where(f"size(array_intersect(pa, pb)) + greatest(ra, rb) >= {need}").select("a", "b", "c_a", "c_b"), "candidates")
-    sets = _whole_sets(docs, counted, k, work)
+    sets = _whole_sets(docs, counted, reps, k, work)
     found = _verified(counted.select("a", "b"), sets, percent).join(counted, ["a", "b"])
     joined = work.save(found.select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct(), "joined")
     work.drop(separate, counted, sets)
@@ -244,9 +271,14 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
         everyone = labels.union(joined.select(F.explode(F.array("a", "b")).alias("node")).distinct().select("node", F.col("node").alias("component")))
         merged = everyone.join(top.select(F.col("node").alias("component"), "to"), "component", "left").groupBy("node").agg(F.min(F.coalesce("to", "component")).alias("component"))
 
-    member = reps.join(merged, reps["rep"] == merged["node"], "left").select(*same, F.coalesce("component", "rep").alias("component_id"))
+    # A component is called by the smallest id in it.
+    named = work.save(reps.join(merged, reps["rep"] == merged["node"], "left").select(*SAME, "low", "n_docs", F.coalesce("component", "rep").alias("c")), "named")
+    least = work.save(named.groupBy("c").agg(F.min("low").alias("component_id"), F.count("*").alias("n")), "least")
+    member = work.save(spread_join(named, least.select("c", "component_id"), ["c"], counts=least.select("c", "n")).select(*SAME, "n_docs", "component_id"), "members")
+    work.drop(named, least, labels, reps)
     empty = slim.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return slim.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", *same).join(work.save(member, "members"), same).select("doc_id", "n_shingles", "component_id").union(empty)
+    joined = spread_join(members, member.drop("n_docs"), list(SAME), counts=member.select(*SAME, F.col("n_docs").alias("n")))
+    return joined.select("doc_id", "n_shingles", "component_id").union(empty)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
