@@ -5,11 +5,11 @@ toxic training rows) and a character part (the mean of learnt embeddings of its
 words, each overlapping the last by half, run through a forward and a backward gated recurrent layer; attention pools
 the states; a logistic unit scores the window. A text's score is that of its worst window, over the whole text.
 
-Training uses at most ``most_rows`` labelled rows of at most ``most_chars`` characters (by hash of the text): a
-documented bound, as is the model's size. A row teaches its currently worst window (labels are of whole texts).
+Training uses at most ``most_rows`` labelled rows of at most ``most_chars`` characters (by hash of id and text, of each label its
+share): a documented bound, as is the model's size. A row teaches its currently worst window (labels are of whole texts).
 
 Defined cases: null, empty and all-space texts score as one window without words; without labelled rows every score is
-0; repeated rows keep a row each; a text is cut into windows however long it is.
+0; repeated rows keep a row each; a text has the same windows however long it is and however it is cut for work.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grovespark.llm import words as W
-from grovespark.llm.common import bounded_batches, crc, table
+from grovespark.llm.common import crc, rebatch, table
 
 WINDOW, STRIDE = 32, 16
 HIDDEN, EMBED, CHARS, CHAR_BITS = 8, 6, 6, 12
@@ -38,20 +38,45 @@ def _char_buckets(data: np.ndarray) -> np.ndarray:
     return ((h * np.uint32(0x9E3779B1)) >> np.uint32(32 - CHAR_BITS)).astype(np.int64)
 
 
-def tokens(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row, end, word hashes, word offsets of rows, trigram buckets, their offsets by word) of bounded pieces."""
+def tokens(col: pa.Array) -> Iterator[tuple]:
+    """Bounded pieces: (first row, (distinct word hashes, which one each word is), word offsets of rows, trigram buckets, their
+    offsets by distinct word, windows). A very long text comes in several pieces that begin where one of its windows does."""
     data, offsets = W.buffers(col)
     for i, j in W.pieces(offsets):
         if j == i + 1 and offsets[j] - offsets[i] > 4 * W.PIECE:
-            at, end = int(offsets[i]), int(offsets[j])
-            while at < end:  # one long text, cut between words
-                stop = min(end, at + W.PIECE)
-                while stop < end and not W._IS_SPACE[data[stop]]:
-                    stop += 1
-                yield i, j, *_piece(data[at:stop], np.array([0, stop - at]))
-                at = stop
+            for part in _long(data[offsets[i] : offsets[j]]):
+                yield i, *part
         else:
-            yield i, j, *_piece(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            own = _piece(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            yield i, *own, windows(own[1])
+
+
+def _long(data: np.ndarray) -> Iterator[tuple]:
+    """The pieces of one long text: each but the last gives its whole windows, and the next begins at the word that follows in step."""
+    at, size = 0, W.PIECE
+    while at < len(data):
+        stop = min(len(data), at + size)
+        if stop < len(data):  # to the end of the word
+            gap = np.flatnonzero(W._IS_SPACE[data[stop : stop + W.PIECE]])
+            stop = min(stop + (int(gap[0]) if len(gap) else W.PIECE), len(data))
+        last = stop >= len(data)
+        if not last and not W._IS_SPACE[data[stop]]:
+            size += W.PIECE
+            continue
+        own = _piece(data[at:stop], np.array([0, stop - at]))
+        n = int(own[1][-1])
+        whole = (n - WINDOW) // STRIDE + 1
+        if last:
+            if at == 0 or n > WINDOW - STRIDE:
+                yield *own, windows(own[1])
+            return
+        if whole < 1:  # too few words for one step: a larger piece
+            size += W.PIECE
+            continue
+        first = np.arange(whole) * STRIDE
+        yield *own, (np.zeros(whole, np.int64), first, np.full(whole, WINDOW))
+        starts, _ = W.spans(data[at:stop], np.zeros(1, np.int64))
+        at, size = at + int(starts[whole * STRIDE]) if whole * STRIDE < n else stop, W.PIECE
 
 
 def _piece(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -206,7 +231,8 @@ def train(texts: list[str], y: np.ndarray, epochs: int = 5, seed: int = 7, batch
     rng = np.random.default_rng(seed)
     y = np.asarray(y, np.float32)
     rows = []
-    for (h, which), at, grams, ends in (t[2:] for k in range(0, len(texts), 1) for t in tokens(pa.array([texts[k] or ""], pa.string()))):
+    for text in texts:
+        _, (h, which), at, grams, ends, _ = next(tokens(pa.array([text or ""], pa.string())))
         rows.append((h, which, at, grams, ends))
     # How many toxic and other rows hold each word, and how much more of the toxic ones, with a half added to both.
     words, at = np.unique(np.concatenate([np.zeros(0, U), *(r[0] for r in rows)]), return_inverse=True)
@@ -267,8 +293,7 @@ def scores(net: Network, col: pa.Array) -> np.ndarray:
     """The score of every whole text."""
     nothing = float(net.p["out_b"][0])
     worst = np.full(len(col), -np.inf)
-    for i, _, (h, which), at, grams, ends in tokens(col):
-        row, first, length = windows(at)
+    for i, (h, which), _, grams, ends, (row, first, length) in tokens(col):
         if len(row):
             np.maximum.at(worst, i + row, net.logits(h, which, grams, ends, first, length))
     worst[np.isinf(worst)] = nothing
@@ -276,28 +301,39 @@ def scores(net: Network, col: pa.Array) -> np.ndarray:
 
 
 def fit(labelled: DataFrame, most_rows: int = 3000, most_chars: int = 20_000) -> Network | None:
-    """A network from ``labelled`` (text, label), bounded by ``most_rows`` and ``most_chars``; None without rows."""
-    rows = labelled.where(F.col("label").isNotNull() & (F.length("text") <= most_chars))
-    n = rows.count()
+    """A network from ``labelled`` (doc_id, text, label), bounded by ``most_rows`` and ``most_chars``; None without rows.
+
+    The rows are those with the smallest hashes of id and text, of each label its share of ``most_rows``: neither the
+    layout of the files nor many copies of one text matter. Equal rows count once.
+    """
+    rows = labelled.where(F.col("label").isNotNull() & (F.length("text") <= most_chars)).select("label", "text", F.xxhash64(F.lit(5), "doc_id", "text").alias("h"))
+    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    n = sum(counts.values())
     if not n:
         return None
-    share = min(1.0, 1.1 * most_rows / n + 50 / n)
-    got = rows.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30))).select("text", "label").limit(most_rows).collect()
-    got.sort(key=lambda r: r["text"])
-    return train([r["text"] for r in got], np.array([r["label"] for r in got], np.float32))
+    share = F.create_map(*[F.lit(v) for label, c in counts.items() for v in (label, min(1.0, 1.1 * most_rows / n + 50 / c))])
+    near = rows.where(F.pmod("h", F.lit(1 << 30)) / float(1 << 30) < F.element_at(share, F.col("label")))
+    got = near.groupBy("label", "h").agg(F.first("text").alias("text")).collect()
+    got.sort(key=lambda r: (r["h"] % (1 << 30), r["h"], r["text"]))
+    taken, chosen = dict.fromkeys(counts, 0), []
+    for r in got:
+        if taken[r["label"]] < max(1, most_rows * counts[r["label"]] // n):
+            taken[r["label"]] += 1
+            chosen.append(r)
+    return train([r["text"] for r in chosen], np.array([r["label"] for r in chosen], np.float32))
 
 
 def score(docs: DataFrame, net: Network | None) -> DataFrame:
-    """``docs`` (text) with ``score``, 0 to 1."""
+    """``docs`` (text) with ``score``, 0 to 1 (a column of that name is replaced)."""
     spark = docs.sparkSession
-    bounded_batches(spark)
     if net is None:
         return docs.withColumn("score", F.lit(0.0))
+    docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != "score"))
     shared, at = spark.sparkContext.broadcast(net), docs.columns.index("text")
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in rebatch(batches, at):
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores(shared.value, b.column(at)), pa.float64())], [*names, "score"])
 
     from pyspark.sql.types import DoubleType, StructField, StructType
@@ -311,7 +347,6 @@ def held_out(doc_id: Column) -> Column:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
-    bounded_batches(spark)
     train_ids = labels.where(~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").alias("label"))
     out = score(docs, fit(docs.join(train_ids, "doc_id")))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
