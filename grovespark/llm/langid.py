@@ -3,8 +3,8 @@
 Features are relative frequencies of hashed byte 2-, 3- and 4-grams of the whole text (A-Z lower-cased, everything but
 letters and non-ASCII characters a space). A linear classifier scores a text as the mean of its n-grams' weights, so a
 batch is scored with gathers and sums over its byte buffer. All classifiers are trained here, on a bounded sample of
-labelled rows (at most ``per_language`` a language and ``MOST_ROWS`` in all, by hash of the text); features of the
-sample, of fixed width, are what the driver gets.
+labelled rows (at most ``per_language`` a language, and its share of ``MOST_ROWS``: those with the smallest hashes of id
+and text); features of the sample, of fixed width, are what the driver gets.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; without any labelled row all are ``und``;
 repeated rows keep a row each; very long texts are worked on in pieces; languages outside the family table are families
@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from grovespark.llm.common import bounded_batches, crc, table
+from grovespark.llm.common import crc, rebatch, table
 from grovespark.llm.words import PIECE, buffers, pieces
 
 #: Families of some languages; fixed values.
@@ -43,8 +44,8 @@ _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[65:91] = _ASCII_LETTER[97:123] = True
 
 
-def grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each n-gram length: the bucket of the n-gram at every byte, and where one fits into its text (a mask)."""
+def grams(data: np.ndarray, offsets: np.ndarray, stop: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each n-gram length: the bucket of the n-gram at every byte (before ``stop``), and where one fits into its text (a mask)."""
     b = _FOLD[data]
     for n in ORDERS:
         h = np.zeros(len(b), np.uint32)
@@ -55,32 +56,37 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, n
         for t in range(1, n):
             cut = offsets[1:] - t
             fits[cut[(cut >= 0)]] = False
+        if stop is not None:
+            fits[stop:] = False
         yield h.astype(np.int64), fits
 
 
-def _rows(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end, bytes, offsets) of pieces; a very long text comes in several pieces of one row."""
+def _rows(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, int | None]]:
+    """(first row, end, bytes, offsets, stop) of pieces; a very long text comes in several pieces of one row, each with
+    the bytes after ``stop`` that its last n-grams reach into."""
     data, offsets = buffers(col)
     for i, j in pieces(offsets):
         own = offsets[i : j + 1]
         if j == i + 1 and own[1] - own[0] > 4 * PIECE:
             for at in range(int(own[0]), int(own[1]), PIECE):
-                end = min(at + PIECE, int(own[1]))
-                yield i, j, data[at:end], np.array([0, end - at])
+                end = min(at + PIECE + max(ORDERS) - 1, int(own[1]))
+                yield i, j, data[at:end], np.array([0, end - at]), PIECE if end < own[1] else None
         else:
-            yield i, j, data[own[0] : own[-1]], own - own[0]
+            yield i, j, data[own[0] : own[-1]], own - own[0], None
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        x = np.zeros((b.num_rows, 1 << BITS), np.float32)
-        for i, j, data, offsets in _rows(b.column(1)):
-            for h, fits in grams(data, offsets):
-                for r in range(i, j):
-                    own = slice(offsets[r - i], offsets[r - i + 1])
-                    x[r] += np.bincount(h[own][fits[own]], minlength=1 << BITS)
-        x /= np.maximum(x.sum(axis=1, keepdims=True), 1)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary())], ["lang", "x"])
+    for b in rebatch(batches, 2):
+        for k in range(0, b.num_rows, 64):
+            part = b.slice(k, 64)
+            x = np.zeros((part.num_rows, 1 << BITS), np.float32)
+            for i, j, data, offsets, stop in _rows(part.column(2)):
+                for h, fits in grams(data, offsets, stop):
+                    for r in range(i, j):
+                        own = slice(offsets[r - i], offsets[r - i + 1])
+                        x[r] += np.bincount(h[own][fits[own]], minlength=1 << BITS)
+            x /= np.maximum(x.sum(axis=1, keepdims=True), 1)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary())], ["lang", "h", "x"])
 
 
 def svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, steps: int = 150) -> tuple[np.ndarray, float]:
@@ -140,39 +146,42 @@ class Model:
 
 
 def fit(labelled: DataFrame, per_language: int = 300, families: dict[str, tuple[str, ...]] = FAMILIES) -> Model | None:
-    """A model from ``labelled`` (text, lang); None without a labelled row."""
-    rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text")
+    """A model from ``labelled`` (doc_id, text, lang); None without a labelled row. Rows of equal id and text count once."""
+    rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", F.xxhash64(F.lit(11), "doc_id", "text").alias("h"), "text")
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
     share = min(per_language, max(1, MOST_ROWS // len(counts)))
     part = F.create_map(*[F.lit(v) for c, n in counts.items() for v in (c, min(1.0, 1.2 * share / n + 10 / n))])
-    sample = rows.where((F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)) < F.element_at(part, F.col("lang"))).limit(2 * MOST_ROWS)
-    got = sample.mapInArrow(_features, "lang string, x binary").collect()
+    # A few more rows than wanted, by hash; of their features the first of each language.
+    near = rows.where(F.pmod("h", F.lit(1 << 30)) / float(1 << 30) < F.element_at(part, F.col("lang")))
+    some = near.mapInArrow(_features, "lang string, h bigint, x binary").groupBy("lang", "h").agg(F.first("x").alias("x"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h"))
+    got = sorted(some.withColumn("rank", rank).where(F.col("rank") <= share).select("lang", "h", "x").collect(), key=lambda r: (r["lang"], r["h"]))
     x = np.stack([np.frombuffer(r["x"], np.float16) for r in got]).astype(np.float32)
     return Model(x, [r["lang"] for r in got], families)
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` (text) with ``lang_pred`` and ``score``."""
+    """``docs`` (text) with ``lang_pred`` and ``score`` (columns of these names are replaced)."""
     spark = docs.sparkSession
-    bounded_batches(spark)
     if model is None:
         return docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
+    docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")))
     shared, names, at = spark.sparkContext.broadcast(model), docs.columns, docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in batches:
+        for b in rebatch(batches, at):
             col = b.column(at)
             total, count = np.zeros((len(col), m.weights.shape[1])), np.zeros(len(col))
             letters = np.zeros(len(col), bool)
-            for i, j, data, offsets in _rows(col):
+            for i, j, data, offsets, stop in _rows(col):
                 filled = np.flatnonzero(np.diff(offsets))
                 if not len(filled):
                     continue
                 starts = offsets[:-1][filled]
-                for h, fits in grams(data, offsets):
+                for h, fits in grams(data, offsets, stop):
                     own = m.weights[h]
                     own[~fits] = 0
                     total[i + filled] += np.add.reduceat(own, starts, axis=0)
@@ -196,7 +205,6 @@ def held_out(doc_id: Column) -> Column:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    bounded_batches(spark)
     model = fit(docs.where(~F.coalesce(held_out(F.col("doc_id")), F.lit(False))))
     out = predict(docs.select("doc_id", "text"), model)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
