@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -46,6 +47,56 @@ def test_jaccard_join(spark, docs):
     assert got == {i: (len(sets[i]), top[i]) for i in range(len(TEXTS))}
 
 
+def test_jaccard_join_of_repeated_and_null_ids(spark):
+    """Against brute force over rows: rows of one id are linked, and a component is called by its smallest id."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (4, c), (4, c), (None, a), (5, None), (5, c + " z"), (6, ""), (0, "q r")]
+    sets = [shingles(t, 4) for _, t in rows]
+    top = [i for i, _ in rows]
+    for _ in rows:
+        for i, j in combinations([k for k in range(len(rows)) if sets[k] and rows[k][0] is not None], 2):
+            if rows[i][0] == rows[j][0] or 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                top[i] = top[j] = min(top[i], top[j])
+    got = sorted([tuple(r) for r in jaccard_join.link(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()], key=str)
+    assert got == sorted([(rows[k][0], len(sets[k]), top[k]) for k in range(len(rows))], key=str)
+
+
+def test_jaccard_join_of_a_large_group(spark):
+    """A third of all rows are near copies of one text, a third equal ones: brute force over the distinct texts."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(80)]
+    near = [" ".join([*base[: (p := int(rng.integers(80)))], f"n{k}", *base[p:]]) for k in range(60)]
+    rows = list(enumerate([*near, *[" ".join(base[::-1])] * 60, *(" ".join(rng.choice(base, 40)) for _ in range(60))]))
+    sets = [shingles(t, 4) for _, t in rows]
+    top = list(range(len(rows)))
+    for i, j in combinations(range(len(rows)), 2):
+        if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+            low, high = sorted((top[i], top[j]))
+            top = [low if x == high else x for x in top]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.link(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()}
+    assert got == dict(enumerate(top))
+
+
+def test_spread_join(spark):
+    work = common.Workspace(spark, "t")
+    left = work.save(spark.createDataFrame([(None if i % 3 == 0 else i % 50, i) for i in range(300)], "k long, i long"), "left")
+    right = spark.createDataFrame([(None, "n"), *((k, f"v{k}") for k in range(40)), (1, "again")], "k long, v string")
+    value = {None: ["n"], **{k: [f"v{k}"] for k in range(40)}}
+    value[1] = ["v1", "again"]
+    rows = [(r["k"], r["i"]) for r in left.collect()]
+    for by in ([], ["i"]):
+        assert sorted(map(tuple, common.spread_join(left, right, ["k"], by=by).select("k", "i", "v").collect()), key=str) == sorted(((k, i, v) for k, i in rows for v in value.get(k, [])), key=str)
+        assert sorted(map(tuple, common.spread_join(left, right, ["k"], "left", by=by).select("k", "i", "v").collect()), key=str) == sorted(((k, i, v) for k, i in rows for v in value.get(k, [None])), key=str)
+        assert sorted(map(tuple, common.spread_join(left, right, ["k"], "left_semi", by=by).select("k", "i").collect()), key=str) == sorted(((k, i) for k, i in rows if k in value), key=str)
+
+
+def test_case_folding_tells_all_else_apart(spark):
+    texts = ["Ab", "ab", "É", "é", "Ã©", "ã©", "×", "ÿ", "ß", "ẞ", "İ", "i", "Σ", "ς", "K", "k", "ﾀ", "😀", "Ａ", "ａ", "µ", "Μ"]
+    got = dict(map(tuple, spark.createDataFrame([(t,) for t in texts], "t string").select("t", common.folded(F.col("t"))).collect()))
+    for x, y in combinations(texts, 2):
+        assert (got[x] == got[y]) == (words(x) == words(y)), (x, y)
+
+
 def test_jaccard_join_of_nothing(spark):
     assert jaccard_join.link(spark.createDataFrame([], "doc_id long, text string"), 4, 85).count() == 0
 
@@ -57,9 +108,14 @@ def test_components(spark):
 
 
 def test_line_dedup(spark):
-    rows = [(i, f"Common line\nown {i}\n COMMON LINE\n\n", i) for i in range(12)] + [(12, None, 0), (13, "rare", 0), (13, "rare", 0)]
-    got = {(r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, at long"), 1, 10, 3).collect()}
-    assert got == {(i, f"own {i}\n\n", 5, 2) for i in range(12)} | {(12, "", 1, 0), (13, "rare", 1, 0)}
+    rows = [(i, f"Common line\nown {i}\n COMMON LINE\n\n", i) for i in range(12)] + [(12, None, 0), (13, "rare", 0), (13, "rare", 0), (None, "Common Line", 0)]
+    for names in ("at", "gone", "h1", "keys", "row", "id", "n", "own_id", "n_lines", "batch"):
+        got = line_dedup.dedup_lines(spark.createDataFrame(rows, f"doc_id long, text string, {names} long"), 1, 10, 3)
+        assert set(got.columns) == {"doc_id", "text", names, "n_lines", "n_dropped"}
+    got = Counter((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in got.collect())
+    assert line_dedup.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    assert got.pop((None, "", 1, 1)) == 1 and got[13, "rare", 1, 0] == 2 and len(got) == 14
+    assert set(got) == {(i, f"own {i}\n\n", 5, 2) for i in range(12)} | {(12, "", 1, 0), (13, "rare", 1, 0)}
 
 
 def test_quality(spark, docs):
@@ -108,8 +164,8 @@ def test_warc_incomplete_segments():
     parts = [{"segment": 1, "total": None, "digest": "d", "block": warc.HEAD}, {"segment": 3, "total": 9, "digest": "d", "block": b"0\r\n\r\n"}]
     import pyarrow as pa
 
-    out = next(warc._reassemble([pa.RecordBatch.from_pylist([{"page_id": 1, "parts": parts}])])).to_pylist()
-    assert out == [{"page_id": 1, "digest": "d", "payload": None, "status": "incomplete"}]
+    out = next(warc._reassemble([pa.RecordBatch.from_pylist([{"page_id": 1, "times": 1, "parts": parts}])])).to_pylist()
+    assert out == [{"page_id": 1, "times": 1, "digest": "d", "payload": None, "status": "incomplete"}]
 
 
 def test_mixing_budgets(spark):
@@ -161,7 +217,7 @@ def test_network_gradients():
     rng = np.random.default_rng(3)
     import pyarrow as pa
 
-    h, which, at, grams, ends = *next(toxicity.tokens(pa.array(["aa bb cc dd aa ee"])))[2], *next(toxicity.tokens(pa.array(["aa bb cc dd aa ee"])))[3:]
+    _, (h, which), _, grams, ends, _ = next(toxicity.tokens(pa.array(["aa bb cc dd aa ee"])))
     net = toxicity.Network(h, rng.normal(size=len(h)), rng)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
     args = (h, which, grams, ends, np.array([0, 2]), np.array([6, 3]), np.array([1.0, 0.0]))
