@@ -79,18 +79,18 @@ def same(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return out
 
 
-def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", counts: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", counts: DataFrame | None = None, by: Sequence[str] = (), total: int | None = None) -> DataFrame:
     """``left`` joined to ``right`` by ``on`` (nulls are equal), with heavy keys dealt to many tasks.
 
     A key is heavy if it holds more rows of ``left`` than a partition's fair share; there are at most as many such keys
     as partitions, and they get as many copies of their rows of ``right`` as they hold fair shares, at most twice the
     partitions in all. Each row of ``left`` meets exactly one copy: rows take turns, for which ``left`` must read a written
     table (so that a task that runs again deals its rows alike), or go by a hash of the columns ``by``. ``counts`` (on,
-    n) says how many rows of ``left`` each key has, where that is known.
+    n) says how many rows of ``left`` each key has, where that is known; ``total`` their sum.
     """
     parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = left.groupBy(*on).agg(F.count("*").alias("n")) if counts is None else counts
-    total = counts.agg(F.sum("n")).first()[0] or 0
+    total = counts.agg(F.sum("n")).first()[0] or 0 if total is None else total
     if not total:
         parts = 1
     heavy = counts.where(F.col("n") * parts > F.lit(total)).select(*(F.col(c).alias(f"__{c}") for c in on), F.ceil(F.col("n") * parts / F.lit(max(total, 1))).cast("int").alias("__copies"))

@@ -9,8 +9,9 @@ ask for more shared ones. Pairs that share enough are verified on the whole sets
 
 Equal sets are one representative, with a key of its own (a document's id may be repeated or stand for several texts).
 A group of n near copies never makes its n * n pairs: star-shaped
-candidates (each prefix shingle links its documents to the ones of the highest priority) are verified first; then the
-exact round only joins documents that are not yet in one component, which loses no component.
+candidates (each prefix shingle links its documents to the ones of the highest priority) are verified first, and again
+a few times between the components that they make, with other priorities; then the exact round only joins
+documents that are not yet in one component, which loses no component.
 
 Defined cases: null, empty and all-space texts have size 0, link with nothing and are their own component; fewer
 than k words make one shingle of the whole sequence; rows of a repeated doc_id are one document each, and texts that
@@ -40,6 +41,8 @@ SKETCH_BITS = 20
 CHUNK, FAN_IN = 1 << 14, 32
 #: The longest extension that a prefix may get.
 MOST_MATCHES = 4
+#: Rounds between components, the exact one included, and the documents that each shingle picks in the others.
+STAR_ROUNDS, HUBS = 2, 12
 #: What two documents with equal sets have in common.
 SAME = ("n_shingles", "fp1", "fp2")
 
@@ -176,13 +179,12 @@ def _sets(k: int, wanted):
     return run
 
 
-def _whole_sets(docs: DataFrame, pairs: DataFrame, reps: DataFrame, k: int, work: Workspace) -> DataFrame:
-    """(rep, shingles) of the representatives in ``pairs``; texts are not shuffled.
+def _whole_sets(docs: DataFrame, ids: DataFrame, reps: DataFrame, k: int, work: Workspace) -> DataFrame:
+    """(rep, shingles) of the representatives in ``ids`` (rep); texts are not shuffled.
 
     A table of counters of their fingerprints, of fixed size, keeps most other documents' sets from being sent; the join
     does the rest. Of equal sets one is kept, before any shuffle too.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
     keys = work.save(reps.select("rep", *SAME).join(ids, "rep", "left_semi"), "keys")
     wanted = docs.sparkSession.sparkContext.broadcast(counters(keys.select("fp2"), _print_hashes, work) > 0)
     sets = docs.select("text").mapInArrow(_sets(k, wanted), "n_shingles bigint, fp1 bigint, fp2 bigint, shingles array<bigint>")
@@ -192,10 +194,11 @@ def _whole_sets(docs: DataFrame, pairs: DataFrame, reps: DataFrame, k: int, work
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of a written table whose whole sets are similar enough."""
+    rest = [c for c in pairs.columns if c not in ("a", "b")]
     joined = spread_join(pairs, sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), ["a"])
     joined = spread_join(joined, sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), ["b"], counts=pairs.groupBy("b").agg(F.count("*").alias("n")), by=["a"])
     both = F.size(F.array_intersect("sa", "sb"))
-    return joined.select("a", "b", "sa", "sb", both.alias("both")).where(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b")
+    return joined.select("a", "b", *rest, "sa", "sb", both.alias("both")).where(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b", *rest)
 
 
 def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -216,7 +219,8 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     work.drop(per_doc)
     entries = work.save(reps.select("rep", F.col("n_shingles").alias("n"), "matches", F.posexplode("prefix").alias("pos", "token")), "entries")
     tokens = work.save(entries.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "tokens")
-    shared = held = work.save(spread_join(entries, tokens.select("token"), ["token"], "left_semi", counts=tokens), "shared")
+    total = tokens.agg(F.sum("n")).first()[0] or 0
+    shared = held = work.save(spread_join(entries, tokens.select("token"), ["token"], "left_semi", counts=tokens, total=total), "shared")
     work.drop(entries)
 
     # A pair that shares s prefix shingles shares at most s and what follows the prefix in one of the two sets.
@@ -230,9 +234,9 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     ranks = [F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), *hub)).alias(f"hub{turn}") for turn in range(2)]
     hubs = shared.groupBy("token").agg(*ranks).select("token", F.explode(F.array_distinct(F.array(*(F.struct(*(f"hub{t}.{x}" for x in hub)) for t in range(2))))).alias("o"))
     hubs = work.save(hubs.select("token", F.col("o.rep").alias("a"), F.col("o.n").alias("n_o"), F.col("o.rest").alias("rest_o")), "hubs")
-    met = spread_join(shared, hubs, ["token"], counts=tokens).where("rep <> a").groupBy("a", F.col("rep").alias("b")).agg(F.count("*").alias("s"), *(F.first(x).alias(x) for x in ("n", "rest", "n_o", "rest_o")))
+    met = spread_join(shared, hubs, ["token"], counts=tokens, total=total).where("rep <> a").groupBy("a", F.col("rep").alias("b")).agg(F.count("*").alias("s"), *(F.first(x).alias(x) for x in ("n", "rest", "n_o", "rest_o")))
     pairs = work.save(met.where(enough).select("a", "b"), "pairs")
-    sets = _whole_sets(docs, pairs, reps, k, work)
+    sets = _whole_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), reps, k, work)
     # Texts that share an id are linked through it.
     members = slim.where("n_shingles > 0 AND doc_id IS NOT NULL")
     several = members.groupBy("doc_id").agg(*(x for c in SAME for x in (F.min(c).alias(f"low_{c}"), F.max(c).alias(f"high_{c}")))).where(" OR ".join(f"low_{c} <> high_{c}" for c in SAME))
@@ -242,34 +246,64 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     work.drop(hubs, pairs, sets)
     labels = work.save(components(stars, work), "components")
 
-    # Exact: in each prefix shingle that holds more than one component, the pairs of different components.
-    own = shared.join(labels, shared["rep"] == labels["node"], "left").withColumn("c", F.coalesce("component", "rep")).drop("node", "component")
-    own = labelled = work.save(own, "labelled")
-    apart = own.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("token")
-    own = separate = work.save(spread_join(own, apart, ["token"], "left_semi", counts=tokens), "apart")
-    work.drop(held, labelled)
+    # What is left: prefix shingles that hold more than one component, and the sets of their documents.
+    def apart(own: DataFrame) -> DataFrame:
+        several = own.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("token")
+        return work.save(spread_join(own, several, ["token"], "left_semi", counts=tokens, total=total), "apart")
+
+    labelled = work.save(shared.join(labels, shared["rep"] == labels["node"], "left").withColumn("c", F.coalesce("component", "rep")).drop("node", "component"), "labelled")
+    work.drop(held)
     # Against a partner of at least its size a document needs a shorter prefix; a shared shingle's places bound what can be shared.
     need = f"({percent} * (n + n_o) + {99 + percent}) div {100 + percent}"
+    labelled_short = labelled.withColumn("short", F.expr(f"pos < n - ({2 * percent} * n + {99 + percent}) div {100 + percent} + matches"))
+    own = apart(labelled_short)
+    work.drop(labelled)
+    sets = _whole_sets(docs, own.select("rep").distinct(), reps, k, work)
     mine = ["rep", "n", "matches", "c", "pos", "short"]
-    own = own.withColumn("short", F.expr(f"pos < n - ({2 * percent} * n + {99 + percent}) div {100 + percent} + matches"))
-    met = spread_join(own.select("token", *mine), own.select("token", *(F.col(x).alias(f"{x}_o") for x in mine)), ["token"]).where(
-        f"c <> c_o AND rep < rep_o AND 100 * least(n, n_o) >= {percent} * greatest(n, n_o) AND (short OR n > n_o) AND (short_o OR n_o > n) AND least(pos, pos_o) + least(n - pos, n_o - pos_o) >= {need}"
-    )
-    counted = met.groupBy(F.col("rep").alias("a"), F.col("rep_o").alias("b"), F.col("c").alias("c_a"), F.col("c_o").alias("c_b"), "n", "n_o").agg(F.count("*").alias("s"), F.first(F.least("matches", "matches_o")).alias("ask")).where("s >= ask")
-    # Then by all that the whole prefixes share.
     side = reps.select("rep", "prefix", F.expr(f"({percent} * n_shingles + 99) div 100 - matches").alias("rest"))
-    counted = counted.join(side.select(F.col("rep").alias("a"), F.col("prefix").alias("pa"), F.col("rest").alias("ra")), "a").join(side.select(F.col("rep").alias("b"), F.col("prefix").alias("pb"), F.col("rest").alias("rb")), "b")
-    counted = work.save(counted.where(f"size(array_intersect(pa, pb)) + greatest(ra, rb) >= {need}").select("a", "b", "c_a", "c_b"), "candidates")
-    sets = _whole_sets(docs, counted, reps, k, work)
-    found = _verified(counted.select("a", "b"), sets, percent).join(counted, ["a", "b"])
-    joined = work.save(found.select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct(), "joined")
-    work.drop(separate, counted, sets)
-    if joined.isEmpty():
-        merged = labels
-    else:
-        top = components(joined, work).withColumnRenamed("component", "to")
+
+    def between(own: DataFrame, other: DataFrame, asked: bool) -> DataFrame:
+        """Verified links of documents of ``own`` with those of ``other`` in other components: pairs of components."""
+        met = spread_join(own.select("token", *mine), other.select("token", *(F.col(x).alias(f"{x}_o") for x in mine)), ["token"], counts=tokens, total=total).where(
+            f"c <> c_o AND {'rep < rep_o' if asked else 'rep <> rep_o'} AND 100 * least(n, n_o) >= {percent} * greatest(n, n_o) AND (short OR n > n_o) AND (short_o OR n_o > n) AND least(pos, pos_o) + least(n - pos, n_o - pos_o) >= {need}"
+        )
+        counted = met.groupBy(F.col("rep").alias("a"), F.col("rep_o").alias("b"), F.col("c").alias("c_a"), F.col("c_o").alias("c_b"), "n", "n_o").agg(F.count("*").alias("s"), F.first(F.least("matches", "matches_o")).alias("ask"), F.min("pos").alias("pos"), F.min("pos_o").alias("pos_o"))
+        # Nothing before the first shared shingle is shared, in either set.
+        counted = counted.where(f"least(n - pos, n_o - pos_o) >= {need}" + (" AND s >= ask" if asked else ""))
+        # Then by all that the whole prefixes share.
+        counted = counted.join(side.select(F.col("rep").alias("a"), F.col("prefix").alias("pa"), F.col("rest").alias("ra")), "a").join(side.select(F.col("rep").alias("b"), F.col("prefix").alias("pb"), F.col("rest").alias("rb")), "b")
+        counted = work.save(counted.where(f"size(array_intersect(pa, pb)) + greatest(ra, rb) >= {need}").select("a", "b", "c_a", "c_b"), "candidates")
+        found = _verified(counted, sets, percent)
+        out = work.save(found.select(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).distinct(), "joined")
+        work.drop(counted)
+        return out
+
+    # Stars again, between components: each shingle picks a few documents at random for the others, so that large components
+    # meet often and a large group of near copies comes together without its pairs. Then exactly, all pairs of different components in a prefix shingle.
+    for turn in range(1, STAR_ROUNDS + 1):
+        exact = turn == STAR_ROUNDS
+        if exact:
+            joined = between(own, own, True)
+        else:
+            ranks = [F.min(F.struct(F.xxhash64("rep", "token", F.lit(HUBS * turn + t)).alias("h"), *mine)).alias(f"hub{t}") for t in range(HUBS)]
+            hubs = own.groupBy("token").agg(*ranks).select("token", F.explode(F.array_distinct(F.array(*(F.struct(*(f"hub{t}.{x}" for x in mine)) for t in range(HUBS))))).alias("o"))
+            hubs = work.save(hubs.select("token", "o.*"), "hubs")
+            joined = between(own, hubs, False)
+            work.drop(hubs)
+        if joined.isEmpty():
+            continue
+        top = work.save(components(joined, work).select(F.col("node").alias("was"), F.col("component").alias("to")), "top")
         everyone = labels.union(joined.select(F.explode(F.array("a", "b")).alias("node")).distinct().select("node", F.col("node").alias("component")))
-        merged = everyone.join(top.select(F.col("node").alias("component"), "to"), "component", "left").groupBy("node").agg(F.min(F.coalesce("to", "component")).alias("component"))
+        merged = everyone.join(top, F.col("component") == F.col("was"), "left").groupBy("node").agg(F.min(F.coalesce("to", "component")).alias("component"))
+        merged = work.save(merged, "components")
+        work.drop(labels)
+        labels = merged
+        if not exact:
+            moved = apart(work.save(own.join(top, F.col("c") == F.col("was"), "left").withColumn("c", F.coalesce("to", "c")).drop("was", "to"), "labelled"))
+            work.drop(own)
+            own = moved
+    merged = labels
+    work.drop(own, sets)
 
     # A component is called by the smallest id in it.
     named = work.save(reps.join(merged, reps["rep"] == merged["node"], "left").select(*SAME, "low", "n_docs", F.coalesce("component", "rep").alias("c")), "named")
