@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from grovespark.llm.common import SPACES, Workspace, table
+from grovespark.llm.common import SPACES, Workspace, same, table
 
 BINS = 4096
 LEVELS = ("domain", "lang", "source")
@@ -58,10 +58,7 @@ def split_budget(leaves: DataFrame, levels: Sequence[str], budget: Column, weigh
             own, up = own.withColumn("money", budget.cast("double")), []
         else:
             up = list(levels[:k])
-            same = [own[c].eqNullSafe(now[c]) for c in up]
-            on = same[0]
-            for s in same[1:]:
-                on = on & s
+            on = same([own[c] for c in up], [now[c] for c in up])
             own = own.join(now.select(*up, F.col("given").alias("money")), on).select(*(own[c] for c in own.columns), "money")
         order = Window.partitionBy(*up).orderBy(F.col(f"supply_{k}") / F.col("w"), *levels[: k + 1])
         before, rest = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
@@ -78,7 +75,7 @@ def mix(docs: DataFrame, budget_share: float = 0.5, epochs: int = 1, seed: int =
     """The chosen documents with ``n_tokens`` and ``epoch`` (from 1): ``budget_share`` of all tokens by the weights.
 
     Needs the columns of ``levels``, doc_id and n_tokens. A document's order within its leaf is the md5 of seed, epoch
-    and id, then its id, then its row. ``key``: a column of longs that tells rows apart, which the result keeps.
+    and id; where its first 6 digits are equal, a hash of the row, the rest of the md5, the id and the row. ``key``: a column of longs that tells rows apart, which the result keeps.
     """
     spark = docs.sparkSession
     work = Workspace(spark, "mixing")
@@ -93,20 +90,21 @@ def mix(docs: DataFrame, budget_share: float = 0.5, epochs: int = 1, seed: int =
     bins = every.groupBy(*levels, "epoch", "bin").agg(F.sum("n_tokens").alias("own"))
     run = Window.partitionBy(*levels).orderBy("epoch", "bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bins = bins.withColumn("upto", F.sum("own").over(run)).withColumn("start", F.col("upto") - F.col("own"))
-    on = None
-    for c in levels:
-        same = F.col(f"b.{c}").eqNullSafe(F.col(f"q.{c}"))
-        on = same if on is None else on & same
+    on = same([F.col(f"b.{c}") for c in levels], [F.col(f"q.{c}") for c in levels])
     placed = bins.alias("b").join(budgets.alias("q"), on).select(*(F.col(f"b.{c}").alias(f"_{c}") for c in levels), F.col("epoch").alias("_epoch"), F.col("bin").alias("_bin"), "start", "upto", "allowed").where("start <= allowed")
-    on = (F.col("epoch") == F.col("_epoch")) & (F.col("bin") == F.col("_bin"))
-    for c in levels:
-        on = on & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    on = same([F.col(c) for c in ("epoch", "bin", *levels)], [F.col(f"_{c}") for c in ("epoch", "bin", *levels)])
     met = every.join(work.save(placed, "bins"), on).select("row", *levels, "doc_id", "n_tokens", "epoch", "o", "bin", "start", "upto", "allowed")
     met = work.save(met, "met")
     inside = met.where("upto <= allowed").select("row", "epoch")
-    edge = met.where("upto > allowed")
-    within = Window.partitionBy(*levels, "epoch", "bin").orderBy("o", "doc_id", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edge = edge.withColumn("sum", F.col("start") + F.sum("n_tokens").over(within)).where("sum <= allowed").select("row", "epoch")
+    # The ranges that the budgets end in are cut once more, by the next digits and then the row: many rows of one id are spread too.
+    edge = work.save(met.where("upto > allowed").withColumn("fine", F.concat(F.substring("o", 4, 3), F.lpad(F.pmod(F.xxhash64("row"), F.lit(BINS)).cast("string"), 4, "0"))), "edge")
+    leaf = [*levels, "epoch", "bin"]
+    fine = edge.groupBy(*leaf, "fine").agg(F.sum("n_tokens").alias("own"))
+    run = Window.partitionBy(*leaf).orderBy("fine").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fine = work.save(fine.withColumn("before", F.sum("own").over(run) - F.col("own")).select(*(F.col(c).alias(f"_{c}") for c in (*leaf, "fine")), "before"), "fine")
+    edge = edge.join(fine, same([F.col(c) for c in (*leaf, "fine")], [F.col(f"_{c}") for c in (*leaf, "fine")])).where("start + before <= allowed")
+    within = Window.partitionBy(*leaf, "fine").orderBy("o", "doc_id", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edge = edge.withColumn("sum", F.col("start") + F.col("before") + F.sum("n_tokens").over(within)).where("sum <= allowed").select("row", "epoch")
     return work.save(slim.join(inside.union(edge), "row").select(*levels, "doc_id", "n_tokens", "epoch", *([F.col("row").alias(key)] if key else [])), "chosen")
 
 
