@@ -21,15 +21,36 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grovespark.llm.common import ascii_lower, table
+from grovespark.llm.common import Workspace, ascii_lower, spread_join, table
 
 SITE_RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
-#: Blocked host labels, as whole words between dots and hyphens.
+#: Words that block a host with them as a whole label or part between hyphens.
 SPAM_WORDS = ("casino", "bets", "pills", "porn", "viagra", "warez")
+#: Pattern rules of the query: mirrors and printed copies of some sections.
+PATTERNS = ("|m.*.example.org/fr/*.html|", "|blog.*.example.net/es/", "||example.com/fr/*/|", "|www.*.example.org/de/*.html|", "||example.net/fr/9*.html|")
 
 RULE_SCHEMA = "rule string, action string, kind string, length int, host_length int, regex string, tokens array<string>"
 
 
+def pattern_rule(pattern: str) -> tuple:
+    """A rule over host and path: ``|`` at the ends is the start of the host and the end of the path, ``||`` the start of any of
+    the host's labels, ``*`` any characters, ``^`` a character other than letters, digits, ``_-.%`` or the end.
+
+    A run of letters and digits is a token of the rule if on both sides it meets a literal other than those, a separator or an anchor.
+    """
+    body, regex = pattern, ""
+    if body.startswith("||"):
+        body, regex = body[2:], r"^([^/]*\.)?"
+    elif body.startswith("|"):
+        body, regex = body[1:], "^"
+    end = body.endswith("|")
+    body = body.removesuffix("|")
+    inner = "".join({"*": ".*", "^": r"([^A-Za-z0-9_.%-]|$)"}.get(c, re.escape(c)) for c in body)
+    closed = ("/" if regex else "*") + body.replace("^", "/") + ("/" if end else "*")
+    tokens = [m.group(1) for m in re.finditer(r"(?<=[^A-Za-z0-9*])([A-Za-z0-9]+)(?=[^A-Za-z0-9*])", closed)]
+    return pattern, "block", "pattern", len(pattern), 0, f"{regex}{inner}{'$' if end else ''}", tokens
+
+
 def site_rule(action: str, rule: str) -> tuple:
     """A host and the start of a path, such as ``example.com/en/``. Its last path token counts as literal only if it is closed."""
     host, slash, path = rule.partition("/")
@@ -43,8 +64,8 @@ def word_rule(word: str) -> tuple:
     return f"host:{word}", "block", "pattern", len(word), 0, rf"^[^/]*(?<![a-z0-9]){re.escape(word)}(?![a-z0-9])[^/]*(/|$)", [word]
 
 
-def rules(spark: SparkSession, sites: Sequence[tuple[str, str]] = SITE_RULES, words: Sequence[str] = SPAM_WORDS) -> DataFrame:
-    return spark.createDataFrame([site_rule(*r) for r in sites] + [word_rule(w) for w in words], RULE_SCHEMA)
+def rules(spark: SparkSession, sites: Sequence[tuple[str, str]] = SITE_RULES, words: Sequence[str] = SPAM_WORDS, patterns: Sequence[str] = PATTERNS) -> DataFrame:
+    return spark.createDataFrame([site_rule(*r) for r in sites] + [word_rule(w) for w in words] + [pattern_rule(x) for x in patterns], RULE_SCHEMA)
 
 
 def parts(url):
@@ -74,7 +95,9 @@ def filter_urls(pages: DataFrame, rule_table: DataFrame) -> DataFrame:
     """``pages`` (page_id, url) with host, path, rule and verdict of every row."""
     host, path = parts(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
-    return rows.join(judge(pages, rule_table), ["host", "path"], "left").select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"))
+    # Only parts that some rule fits are joined back; one that many pages share is dealt to many tasks.
+    found = Workspace(pages.sparkSession, "urls").save(judge(pages, rule_table), "judged")
+    return spread_join(rows, found, ["host", "path"], "left", by=["page_id"]).select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +114,7 @@ m AS (SELECT page_id, host, path, arg_max(rule, length(rule)) AS rule, arg_max(a
                    AND starts_with(path, substr(rule, strpos(rule, '/')))
       GROUP BY page_id, host, path)
 SELECT q.page_id, q.host, q.path, m.rule,
-       coalesce(m.action, CASE WHEN regexp_matches(q.host, '(^|[^a-z0-9])(casino|bets|pills|porn|viagra|warez)([^a-z0-9]|$)') THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(m.action, CASE WHEN regexp_matches(q.host, '(^|[^a-z0-9])(casino|bets|pills|porn|viagra|warez)([^a-z0-9]|$)') OR {patterns}
+                           THEN 'block' ELSE 'allow' END) AS verdict
 FROM q LEFT JOIN m USING (page_id, host, path)
-"""
+""".replace("{patterns}", " OR ".join(f"regexp_matches(q.host || q.path, '{pattern_rule(x)[5]}')" for x in PATTERNS))
