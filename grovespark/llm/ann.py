@@ -179,7 +179,7 @@ def _search(k: int):
     return run
 
 
-def search(vectors: DataFrame, is_query, k: int = 20, recall: float = 0.96, sample_rows: int = 8192, parts: int | None = None) -> DataFrame:
+def search(vectors: DataFrame, is_query, k: int = 20, recall: float = 0.93, sample_rows: int = 8192, parts: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every row that ``is_query`` (a column over vec_id) marks."""
     spark = vectors.sparkSession
     work = Workspace(spark, "ann")
@@ -188,8 +188,8 @@ def search(vectors: DataFrame, is_query, k: int = 20, recall: float = 0.96, samp
     empty = "query_id bigint, rank int, vec_id bigint, score double"
     if n < 2:
         return spark.createDataFrame([], empty)
-    # Parts of about a block of rows, but no more than the sample can teach: beyond that parts grow, and are dealt in blocks.
-    parts = parts or int(min(64, max(4, n // BLOCK)))
+    # Parts of about a block of rows, but with at least 64 sample rows each: beyond that parts grow, and are dealt in blocks.
+    parts = parts or int(min(sample_rows // 64, max(4, n // BLOCK)))
     share = min(1.0, 1.1 * sample_rows / n + 100 / n)
     sample = rows.where(F.pmod(F.xxhash64("vec_id", F.lit(23)), F.lit(1 << 30)) < int(share * (1 << 30))).limit(sample_rows).toPandas().sort_values("vec_id")
     router, probes = fit(np.stack(sample["v"]), parts, k, recall)
