@@ -147,6 +147,105 @@ def test_url_filters(spark):
     assert got[4][:2] == ("example.com", "/en/7") and got[0][:2] == ("", "")
 
 
+def test_url_patterns():
+    def hit(pattern, url):
+        rule = url_filters.pattern_rule(pattern)
+        assert not (fits := re.search(rule[5], url)) or set(rule[6]) <= set(re.split("[^A-Za-z0-9]+", url))
+        return bool(fits)
+
+    assert hit("||ads.com^", "x.ads.com/") and hit("||ads.com^", "ads.com") and not hit("||ads.com^", "ads.com.de/") and not hit("||ads.com^", "bads.com/")
+    assert hit("|m.*.org/fr/*.html|", "m.a.org/fr/12.html") and not hit("|m.*.org/fr/*.html|", "www.m.a.org/fr/12.html") and not hit("|m.*.org/fr/*.html|", "m.a.org/fr/12.html/")
+    assert hit("/banner/", "a.b/x/banner/1") and hit("ban*er", "a.b/bananer") and url_filters.pattern_rule("ban*er/x")[6] == []
+    assert url_filters.pattern_rule("|blog.*.net/es/")[6] == ["blog", "net", "es"]
+
+
+def test_warc_names_and_damage(spark):
+    """Revisits name records; a file that is cut off or damaged gives what is whole; rows that repeat id and payload stay."""
+    rows = [(1, "u", "same"), (2, "u", "same"), (None, "u", "same"), (None, None, "alone"), (None, None, "alone"), (9, "u", "é" * 40_000), (9, "u", "é" * 40_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    work = common.Workspace(spark, "t")
+    warc.write_archives(pages, path := work.path("w"), 0)
+    texts = [r["content"] for r in spark.read.format("binaryFile").load(path).collect()]
+    heads = [f for t in texts for f, _ in warc.parse(bytes(t))]
+    names = {f["warc-record-id"] for f in heads}
+    assert all(f["warc-refers-to"] in names for f in heads if "warc-refers-to" in f)
+    got = sorted([tuple(r) for r in warc.round_trip(pages, 0).select("page_id", "payload_bytes", "record_type", "refers_to").collect()], key=str)
+    assert got == sorted([(1, 4, "revisit", 2), (2, 4, "response", None), (None, 4, "revisit", 2), (None, 5, "response", None), (None, 5, "response", None), (9, 80_000, "response", None), (9, 80_000, "response", None)], key=str)
+    whole = b"".join(r + b"\r\n\r\n" for i in (1, 2, 3) for r in warc.records(i, "u", f"text {i}", None, 1000))
+    for data, want in ((whole[:-40], [True, True, False]), (whole.replace(b"Content-Length", b"Content-Wrong", 1), [False, True, True]), (b"junk", [False]), (b"", [])):
+        assert [block is not None for _, block in warc.parse(data)] == want
+
+
+def brute_mix(rows, levels, share, epochs, seed, weight):
+    """Budgets by handing out money bit by bit, then whole documents in order."""
+    total = sum(r["n_tokens"] for r in rows)
+
+    def split(nodes, money, depth):
+        supply = {}
+        for r in nodes:
+            supply[r[levels[depth]]] = supply.get(r[levels[depth]], 0) + r["n_tokens"] * epochs
+        given, open_ = dict.fromkeys(supply, 0.0), set(supply)
+        while open_:
+            w = sum(weight(levels[depth], k) for k in open_)
+            fair = (money - sum(given[k] for k in supply if k not in open_)) / w
+            full = {k for k in open_ if supply[k] <= fair * weight(levels[depth], k)}
+            for k in full or open_:
+                given[k] = supply[k] if full else fair * weight(levels[depth], k)
+            open_ -= full or open_
+        out = []
+        for k in supply:
+            own = [r for r in nodes if r[levels[depth]] == k]
+            out += split(own, given[k], depth + 1) if depth + 1 < len(levels) else [(own, int(given[k] + 1e-6))]
+        return out
+
+    chosen = []
+    for leaf, allowed in split(rows, total * share, 0):
+        order = sorted(((e, hashlib.md5(f"{seed}:{e}:{r['doc_id']}".encode()).hexdigest(), r) for e in range(1, epochs + 1) for r in leaf), key=lambda x: x[:2])
+        n = 0
+        for e, _, r in order:
+            n += r["n_tokens"]
+            if n > allowed:
+                break
+            chosen.append((r["doc_id"], e))
+    return sorted(chosen)
+
+
+def test_mixing_against_brute_force(spark):
+    rng = np.random.default_rng(8)
+    rows = [{"doc_id": i, "domain": str(rng.choice(["a", "b"], p=[0.9, 0.1])), "lang": str(rng.choice(["en", "de", "fr"], p=[0.7, 0.2, 0.1])), "source": f"s{min(int(rng.exponential(2)), 5)}", "n_tokens": int(rng.integers(1, 50))} for i in range(600)]
+    docs = spark.createDataFrame([tuple(r.values()) for r in rows], "doc_id long, domain string, lang string, source string, n_tokens long")
+    own = {"lang": F.when(F.col("lang") == "de", 3.0).otherwise(1.0)}
+    for share, epochs in ((0.5, 2), (0.9, 1), (0.3, 3)):
+        got = sorted((r["doc_id"], r["epoch"]) for r in mixing.mix(docs, share, epochs, 4, weight=own).collect())
+        want = brute_mix(rows, mixing.LEVELS, share, epochs, 4, lambda level, k: 3.0 if (level, k) == ("lang", "de") else 1.0)
+        assert got == want, (share, epochs, len(got), len(want))
+
+
+def test_mixing_of_one_id(spark):
+    docs = spark.createDataFrame([(None, "d", "en", "s", 10)] * 300, "doc_id long, domain string, lang string, source string, n_tokens long")
+    assert mixing.mix(docs, 0.5, 1).count() == 150
+
+
+def test_windows_and_grams_of_a_long_text():
+    """A text that is cut for work has the windows and n-grams of the whole."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    text = " ".join(["é" * int(n) if n % 7 == 0 else "w" * int(n) for n in rng.integers(1, 20, 260_000)])
+    whole = toxicity._piece(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+    _, first, length = toxicity.windows(whole[1])
+    words_of = lambda piece, f, n: tuple(piece[0][0][piece[0][1][f : f + n]].tolist())
+    got = [words_of(t[1:], f, n) for t in toxicity.tokens(pa.array([text])) for f, n in zip(t[5][1], t[5][2], strict=True)]
+    assert len(text.encode()) > 4 * toxicity.W.PIECE and got == [words_of(whole, f, n) for f, n in zip(first, length, strict=True)]
+    data = np.frombuffer(text.encode(), np.uint8)
+    want = [np.bincount(h[fits], minlength=1 << langid.BITS) for h, fits in langid.grams(data, np.array([0, len(data)]))]
+    cut = [np.zeros(1 << langid.BITS, np.int64) for _ in want]
+    for _, _, part, offsets, stop in langid._rows(pa.array([text])):
+        for c, (h, fits) in zip(cut, langid.grams(part, offsets, stop), strict=True):
+            c += np.bincount(h[fits], minlength=1 << langid.BITS)
+    assert all((c == w).all() for c, w in zip(cut, want, strict=True))
+
+
 def test_warc(spark):
     big = "é" * 50_000
     rows = [(1, None, None), (2, "u", None), (3, "u", "x"), (4, "u\r\nx", "x"), (5, "u", big), (6, "u", big), (7, "u", big + "WARC/1.1\r\n\r\n"), (8, None, "0\r\n\r\n")]
