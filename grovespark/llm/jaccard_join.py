@@ -262,8 +262,10 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     mine = ["rep", "n", "matches", "c", "pos", "short"]
     side = reps.select("rep", "prefix", F.expr(f"({percent} * n_shingles + 99) div 100 - matches").alias("rest"))
 
+    checked: list[DataFrame] = []
+
     def between(own: DataFrame, other: DataFrame, asked: bool) -> DataFrame:
-        """Verified links of documents of ``own`` with those of ``other`` in other components: pairs of components."""
+        """Verified links of documents of ``own`` with those of ``other`` in other components: pairs of components. No pair is verified twice."""
         met = spread_join(own.select("token", *mine), other.select("token", *(F.col(x).alias(f"{x}_o") for x in mine)), ["token"], counts=tokens, total=total).where(
             f"c <> c_o AND {'rep < rep_o' if asked else 'rep <> rep_o'} AND 100 * least(n, n_o) >= {percent} * greatest(n, n_o) AND (short OR n > n_o) AND (short_o OR n_o > n) AND least(pos, pos_o) + least(n - pos, n_o - pos_o) >= {need}"
         )
@@ -272,10 +274,14 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
         counted = counted.where(f"least(n - pos, n_o - pos_o) >= {need}" + (" AND s >= ask" if asked else ""))
         # Then by all that the whole prefixes share.
         counted = counted.join(side.select(F.col("rep").alias("a"), F.col("prefix").alias("pa"), F.col("rest").alias("ra")), "a").join(side.select(F.col("rep").alias("b"), F.col("prefix").alias("pb"), F.col("rest").alias("rb")), "b")
-        counted = work.save(counted.where(f"size(array_intersect(pa, pb)) + greatest(ra, rb) >= {need}").select("a", "b", "c_a", "c_b"), "candidates")
+        counted = counted.where(f"size(array_intersect(pa, pb)) + greatest(ra, rb) >= {need}").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.expr("IF(a < b, c_a, c_b) AS c_a"), F.expr("IF(a < b, c_b, c_a) AS c_b"))
+        counted = counted if asked else counted.distinct()
+        for done in checked:
+            counted = counted.join(done.select("a", "b"), ["a", "b"], "left_anti")
+        counted = work.save(counted, "candidates")
+        checked.append(counted)
         found = _verified(counted, sets, percent)
         out = work.save(found.select(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).distinct(), "joined")
-        work.drop(counted)
         return out
 
     # Stars again, between components: each shingle picks a few documents at random for the others, so that large components
@@ -303,7 +309,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
             work.drop(own)
             own = moved
     merged = labels
-    work.drop(own, sets)
+    work.drop(own, sets, *checked)
 
     # A component is called by the smallest id in it.
     named = work.save(reps.join(merged, reps["rep"] == merged["node"], "left").select(*SAME, "low", "n_docs", F.coalesce("component", "rep").alias("c")), "named")
