@@ -1,15 +1,24 @@
-"""Cutting lineage through the shared checkpoint folder."""
+"""Cutting lineage through tables written to the shared checkpoint folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder that the session names in spark.checkpoint.dir; a temporary one only where unset."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return df.checkpoint()
+    """``df`` written as Parquet to the folder that the session names in spark.checkpoint.dir, and read from there.
+
+    The written table has statistics and its columns can be pruned; losing an executor loses nothing. A temporary folder is
+    used only where the session names none.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
+        spark.sparkContext.setCheckpointDir(folder)
+    path = f"{folder}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
