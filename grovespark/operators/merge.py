@@ -85,7 +85,8 @@ def merge(source: Taxonomy, union: Taxonomy, answers: DataFrame) -> Merged:
         d = d.withColumn("fate", fate)
         target = F.when(F.col("fate") == "mapped/internal", F.col("image")).when(F.col("fate").startswith("new/"), new_uid).when(F.col("fate").isin("reject/inconsistent", "reject/overtaken"), point).otherwise(F.when(F.col("low") != "", F.col("low")))
         d = settle(d.withColumns({"target": target, "adds": F.when(F.col("fate").isin("reject/inconsistent", "reject/overtaken"), BIT["unplaced"]).otherwise(0)}).select("src", "name", "rank", "proper_flags", "fate", "target", "adds"))
-        fates = fates.union(d.select("src", "fate"))
+        # A parent that is not under the sink is overtaken; the node counts as absorbed (M-6).
+        fates = fates.union(d.select("src", F.when(F.col("fate") == "reject/overtaken", "reject/absorbed").otherwise(F.col("fate")).alias("fate")))
 
         # New nodes are detached until their parent is met; tombstones hang under their replacement at once.
         made = copies(d.where("fate LIKE 'new/%'"), F.lit(None).cast("string"), F.lit(0), True)

@@ -13,8 +13,9 @@ from grovespark.operators import tree
 
 def first_of_each(events: DataFrame, kind: str, order: str, n: int = 10) -> DataFrame:
     """Counts per kind, and the first ``n`` rows of each (A-1, O-5)."""
-    w = Window.partitionBy(kind)
-    return events.withColumn("total", F.count("*").over(w)).withColumn("nth", F.row_number().over(w.orderBy(order))).where(F.col("nth") <= n)
+    total = events.groupBy(kind).agg(F.count("*").alias("total"))
+    first = events.withColumn("nth", F.row_number().over(Window.partitionBy(kind).orderBy(order))).where(F.col("nth") <= n)  # tasks keep n rows a kind
+    return first.join(total, first[kind].eqNullSafe(total[kind])).drop(total[kind])
 
 
 def counts_with_total(rows: DataFrame, *keys: str) -> DataFrame:

@@ -15,12 +15,19 @@ NO_PARENT = ("null", "not found", "")
 
 
 def _fields(spark: SparkSession, path: str) -> tuple[DataFrame, list[str] | None]:
-    """Rows (file order ``line``, array ``f``) and the header, if there is one."""
-    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("line"), F.split("value", r"\t\|\t?|\t").alias("f"))
-    # A written table comes in several files, so the header need not be read first.
-    is_head = F.array_contains("f", "uid") & F.array_contains("f", "name")
-    first = lines.where(is_head).limit(1).first()
-    return lines.where(~is_head), [x.strip() for x in first["f"]] if first else None
+    """Rows (file order ``line``, array ``f``) and the header, if there is one.
+
+    A header is the first line of a file, with fields uid and name: a written table comes in several files. Elsewhere
+    such a line is a row like any other.
+    """
+    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.split("value", r"\t\|\t?|\t").alias("f"))
+    # Of the lines that look like headers each file's first, if no other line comes before it.
+    looks = lines.where(F.array_contains("f", "uid") & F.array_contains("f", "name") & (F.col("block") == 0)).groupBy("file").agg(F.min("line").alias("line"), F.min_by("f", "line").alias("head"))
+    first = lines.where("block = 0").groupBy("file").agg(F.min("line").alias("first"))
+    heads = looks.join(first, "file").where("line = first").select(F.col("line").alias("head_line"), "head")
+    found = heads.select("head").first()
+    rows = lines.join(F.broadcast(heads.select("head_line")), F.col("line") == F.col("head_line"), "left_anti")
+    return rows.select("line", "f"), [x.strip() for x in found["head"]] if found else None
 
 
 def _column(head: list[str], name: str) -> Column:

@@ -27,3 +27,9 @@ def test_names_and_cycles(spark):
     chain = spark.createDataFrame([(str(i), str(i + 1)) for i in range(20)] + [("x", "y"), ("y", "x")], "id string, replacement string")
     got = {r["id"]: r["replacement"] for r in tree.resolve_aliases(chain).collect()}
     assert got == {str(i): "20" for i in range(20)}
+
+
+def test_a_row_that_looks_like_a_header_is_a_row(spark, tmp_path):
+    (tmp_path / "taxonomy.tsv").write_text("uid\t|\tparent_uid\t|\tname\t|\trank\t|\t\n1\t|\t\t|\tlife\t|\tno rank\t|\t\nuid\t|\t1\t|\tname\t|\tgenus\t|\t\n")
+    got = {(r["uid"], r["parent_uid"], r["name"]) for r in interim.read_nodes(spark, str(tmp_path / "taxonomy.tsv")).collect()}
+    assert got == {("1", None, "life"), ("uid", "1", "name")}
