@@ -58,12 +58,16 @@ def described(pathed: DataFrame, other: Taxonomy, divisions: DataFrame | None, s
     return out.select(*(F.col(c).alias(f"{c}_{side}") for c in keep))
 
 
-def overlaps(src_pathed: DataFrame, tgt_pathed: DataFrame, aligned: DataFrame) -> DataFrame:
-    """(src, tgt, n_in, n_all): of the aligned nodes under src, how many images are under tgt (J-7)."""
+def overlaps(src_pathed: DataFrame, tgt_pathed: DataFrame, aligned: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(src, tgt, n_in, n_all) of the candidate ``pairs``: of the aligned nodes under src, how many images are under tgt (J-7).
+
+    Aligned nodes meet only the candidates of the nodes above them, so no path is multiplied by another.
+    """
     a = src_pathed.select(F.col("uid").alias("s"), F.col("path").alias("sp")).join(aligned.select(F.col("src").alias("s"), F.col("tgt").alias("t")), "s").join(tgt_pathed.select(F.col("uid").alias("t"), F.col("path").alias("tp")), "t")
-    up = a.select("s", F.explode("sp").alias("src"), "tp")
+    wanted = pairs.select("src", "tgt").distinct()
+    up = a.select(F.explode("sp").alias("src"), "tp").join(wanted.select("src").distinct(), "src", "left_semi")
     total = up.groupBy("src").agg(F.count("*").alias("n_all"))
-    return up.select("src", F.explode("tp").alias("tgt")).groupBy("src", "tgt").agg(F.count("*").alias("n_in")).join(total, "src")
+    return up.join(wanted, "src").where(F.array_contains("tp", F.col("tgt"))).groupBy("src", "tgt").agg(F.count("*").alias("n_in")).join(total, "src")
 
 
 def h_division(ctx: dict) -> Column:
@@ -203,7 +207,7 @@ def align(src: Taxonomy, tgt: Taxonomy, divisions: DataFrame | None = None, cura
         above = above.join(curated.select("src"), "src", "left_anti")
     above = settle(above)
     again = pairs.join(above, "src", "left_semi")
-    ctx["overlap"] = settle(overlaps(sp, tp, low))
+    ctx["overlap"] = settle(overlaps(sp, tp, low, pairs.join(above, "src", "left_semi")))
     second = eliminate(scored(again, si, ti, ctx, criteria), criteria)
     return settle(first.join(above, "src", "left_anti").union(second))
 
