@@ -320,6 +320,7 @@ def fit(labelled: DataFrame, most_rows: int = 3000, most_chars: int = 20_000) ->
         if taken[r["label"]] < max(1, most_rows * counts[r["label"]] // n):
             taken[r["label"]] += 1
             chosen.append(r)
+    chosen.sort(key=lambda r: r["text"])
     return train([r["text"] for r in chosen], np.array([r["label"] for r in chosen], np.float32))
 
 
