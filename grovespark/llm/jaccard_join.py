@@ -258,7 +258,6 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     labelled_short = labelled.withColumn("short", F.expr(f"pos < n - ({2 * percent} * n + {99 + percent}) div {100 + percent} + matches"))
     own = apart(labelled_short)
     work.drop(labelled)
-    sets = _whole_sets(docs, own.select("rep").distinct(), reps, k, work)
     mine = ["rep", "n", "matches", "c", "pos", "short"]
     side = reps.select("rep", "prefix", F.expr(f"({percent} * n_shingles + 99) div 100 - matches").alias("rest"))
 
@@ -280,19 +279,22 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
             counted = counted.join(done.select("a", "b"), ["a", "b"], "left_anti")
         counted = work.save(counted, "candidates")
         checked.append(counted)
+        sets = _whole_sets(docs, counted.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), reps, k, work)
         found = _verified(counted, sets, percent)
         out = work.save(found.select(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).distinct(), "joined")
+        work.drop(sets)
         return out
 
-    # Stars again, between components: each shingle picks a few documents at random for the others, so that large components
-    # meet often and a large group of near copies comes together without its pairs. Then exactly, all pairs of different components in a prefix shingle.
+    # Stars again, between components: each shingle of many documents picks a few of them at random for the others, so that
+    # large components meet often and a large group of near copies comes together without its pairs. Then exactly, all
+    # pairs of different components in a prefix shingle, those of few documents included.
     for turn in range(1, STAR_ROUNDS + 1):
         exact = turn == STAR_ROUNDS
         if exact:
             joined = between(own, own, True)
         else:
             ranks = [F.min(F.struct(F.xxhash64("rep", "token", F.lit(HUBS * turn + t)).alias("h"), *mine)).alias(f"hub{t}") for t in range(HUBS)]
-            hubs = own.groupBy("token").agg(*ranks).select("token", F.explode(F.array_distinct(F.array(*(F.struct(*(f"hub{t}.{x}" for x in mine)) for t in range(HUBS))))).alias("o"))
+            hubs = own.groupBy("token").agg(*ranks, F.count("*").alias("held")).where(F.col("held") > 2 * HUBS).select("token", F.explode(F.array_distinct(F.array(*(F.struct(*(f"hub{t}.{x}" for x in mine)) for t in range(HUBS))))).alias("o"))
             hubs = work.save(hubs.select("token", "o.*"), "hubs")
             joined = between(own, hubs, False)
             work.drop(hubs)
@@ -309,7 +311,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
             work.drop(own)
             own = moved
     merged = labels
-    work.drop(own, sets, *checked)
+    work.drop(own, *checked)
 
     # A component is called by the smallest id in it.
     named = work.save(reps.join(merged, reps["rep"] == merged["node"], "left").select(*SAME, "low", "n_docs", F.coalesce("component", "rep").alias("c")), "named")
