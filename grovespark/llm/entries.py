@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from grovespark.llm import ann, bpe, jaccard_join, langid, line_dedup, mixing, quality, toxicity, url_filters, warc
+from grovespark.llm import ann, bpe, jaccard_join, langid, licences, line_dedup, lloyd, mixing, periodic, quality, toxicity, url_filters, warc
 
 QUERIES = {
     "op1_url_filters": url_filters.query,
@@ -15,10 +15,14 @@ QUERIES = {
     "op8_mixing": mixing.query,
     "op9_bpe": bpe.query,
     "op10_langid": langid.query,
+    "op11_lloyd": lloyd.query,
+    "op12_licences": licences.query,
+    "op13_periodic_runs": periodic.query,
 }
 
 ORACLES = {
     "op1_url_filters": url_filters.ORACLE,
     "op3_line_dedup": line_dedup.ORACLE,
     "op5_quality": quality.ORACLE,
+    "op11_lloyd": lloyd.ORACLE,
 }
