@@ -365,7 +365,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def frequent_words(docs: DataFrame, size: int = LEXICON_SIZE) -> list[str]:
     """At most ``size`` frequent words, counted over all documents: those above the least step of the count (a sixteenth
-    of a power of two) that no more than ``size`` words exceed, so the driver gets no other word."""
+    of a power of two) that no more than ``size`` words exceed, so the driver gets no other word.
+
+    Words that occur once are left out, and if the highest step alone holds more than ``size`` words, all are: the
+    lexicon saves work and changes no id.
+    """
     work = Workspace(docs.sparkSession, "words")
     counts = work.save(docs.select("text").mapInArrow(_count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").withColumn("step", F.floor(16 * F.log2("n")).cast("int")), "counts")
     steps = {r["step"]: r["words"] for r in counts.groupBy("step").agg(F.count("*").alias("words")).collect()}  # at most 1,024 rows
