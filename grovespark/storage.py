@@ -5,20 +5,23 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet to the folder that the session names in spark.checkpoint.dir, and read from there.
-
-    The written table has statistics and its columns can be pruned; losing an executor loses nothing. A temporary folder is
-    used only where the session names none.
-    """
-    spark = df.sparkSession
+def scratch(spark: SparkSession, label: str) -> str:
+    """A fresh folder in the one that the session names in spark.checkpoint.dir, or in a temporary one where it names none."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.sparkContext.setCheckpointDir(folder)
-    path = f"{folder}/settled-{uuid.uuid4().hex}"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the folder that the session names in spark.checkpoint.dir, and read from there.
+
+    The written table has statistics and its columns can be pruned; losing an executor loses nothing.
+    """
+    path = scratch(df.sparkSession, "settled")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
