@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grovespark.functions import codecs
 from grovespark.operators import additions
 from grovespark.plans.star import suppliers, table
+from grovespark.sources import studies
 from grovespark.storage import scratch
 from grovespark.streaming import additions as stream
 
@@ -80,3 +82,56 @@ def i7_additions_stream(spark, d):
     # Those that still wait when the stream ends wait for nobody.
     never = waiting.select(F.col("at.doc").alias("doc"), F.col("at.pos").alias("pos"), "tag", F.lit("parent not found").alias("outcome"), F.lit(None).cast("string").alias("target"))
     return stream.state(spark, f"{folder}/state", "outcomes").union(never)
+
+
+def study_documents(spark: SparkSession, d: str) -> DataFrame:
+    """(study, json) written as text, a line each: for each customer a tree of its orders by priority. Household customers have no root,
+    orders of status P no label, those of status F are no exemplars."""
+    o = table(spark, d, "orders").select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("study"), F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("tip"), F.concat(F.lit("p"), "o_orderpriority").alias("inner"), "o_orderkey", "o_orderstatus", "o_orderdate")
+    tip = F.struct(F.col("tip").alias("@otu"), F.when(F.col("o_orderstatus") == "F", False).alias("^ot:isTaxonExemplar"))
+    none = F.struct(F.lit(None).cast("string").alias("@otu"), F.lit(None).cast("boolean").alias("^ot:isTaxonExemplar"))
+    label = F.struct(F.when(F.col("o_orderstatus") != "P", F.date_format("o_orderdate", "yyyy-MM-dd")).alias("^ot:originalLabel"), F.col("o_orderkey").alias("^ot:ottId"))
+
+    def edge(a, b):
+        return F.struct(a.alias("@source"), b.alias("@target"))
+
+    def entry(key, value):
+        return F.struct(key.alias("key"), value.alias("value"))
+
+    def keyed(key, value):
+        return F.map_from_entries(F.collect_list(entry(key, value)))
+
+    def flat(entries):
+        return F.flatten(F.collect_list(F.map_entries(entries)))
+
+    inner = o.groupBy("study", "inner").agg(keyed(F.col("tip"), tip).alias("nodes"), keyed(F.col("tip"), label).alias("otus"), keyed(F.concat(F.lit("e"), "tip"), edge(F.col("inner"), F.col("tip"))).alias("edges"))
+    whole = inner.groupBy("study").agg(
+        F.map_concat(F.map_from_entries(flat("nodes")), keyed(F.col("inner"), none), F.create_map(F.lit("r"), none)).alias("nodes"), F.map_from_entries(flat("otus")).alias("otus"),
+        F.map_concat(keyed(F.col("inner"), F.col("edges")), F.create_map(F.lit("r"), keyed(F.concat(F.lit("e"), "inner"), edge(F.lit("r"), F.col("inner"))))).alias("edges"),
+    )
+    root = table(spark, d, "customer").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("study"), F.when(F.col("c_mktsegment") == "HOUSEHOLD", "").otherwise("r").alias("root"))
+    one = F.struct(F.col("nodes").alias("nodeById"), F.col("edges").alias("edgeBySourceId"), F.col("root").alias("^ot:rootNodeId"), F.lit("r").alias("^ot:inGroupClade"))
+    nexml = F.struct(F.create_map(F.lit("g"), F.struct(F.col("otus").alias("otuById"))).alias("otusById"), F.create_map(F.lit("ts"), F.struct(F.create_map(F.lit("t"), one).alias("treeById"))).alias("treesById"))
+    path = scratch(spark, "studies")
+    whole.join(root, "study").select(F.concat("study", F.lit("\t"), F.to_json(F.struct(nexml.alias("nexml"))))).write.text(path)
+    line = spark.read.text(path)
+    return line.select(F.substring_index("value", "\t", 1).alias("study"), F.expr("substr(value, instr(value, '\t') + 1)").alias("json"))
+
+
+STUDIES = """WITH o AS (SELECT 'c' || o_custkey AS study, * FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment <> 'HOUSEHOLD')"""
+
+
+@query(STUDIES + """ SELECT DISTINCT study || '/t/r' AS uid, CAST(NULL AS VARCHAR) AS parent_uid, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS qid FROM o
+UNION ALL SELECT DISTINCT study || '/t/p' || o_orderpriority, study || '/t/r', NULL, NULL FROM o
+UNION ALL SELECT study || '/t/o' || o_orderkey, study || '/t/p' || o_orderpriority, CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END, CASE WHEN o_orderstatus <> 'F' THEN 'ott:' || o_orderkey END FROM o""")
+def s10_study_trees(spark, d):
+    """Nested study documents, written and read again: nodes with labels and mapped ids."""
+    got = studies.read(study_documents(spark, d)).nodes
+    return got.select("uid", "parent_uid", "name", codecs.print_qid(F.get("source_ids", F.lit(0))).alias("qid"))
+
+
+@query("""SELECT 'tip without label' AS problem, count(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment <> 'HOUSEHOLD' AND o_orderstatus = 'P' HAVING count(*) > 0
+UNION ALL SELECT 'no root', count(DISTINCT o_custkey) FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment = 'HOUSEHOLD' HAVING count(*) > 0""")
+def r13_study_problems(spark, d):
+    """What the reader finds wrong in the same documents."""
+    return studies.read(study_documents(spark, d)).problems.groupBy("problem").agg(F.count("*").alias("n"))
