@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grovespark.functions import codecs
-from grovespark.model import BIT, COLUMNS, FORMER_CONTAINER, SOURCE_IDS, UNPLACED_ANY, Taxonomy, mask
+from grovespark.functions import codecs, paths
+from grovespark.model import BIT, COLUMNS, FORMER_CONTAINER, SOURCE_IDS, SUPPRESSED, UNPLACED_ANY, Taxonomy, mask
 from grovespark.operators import align, tree
 from grovespark.storage import settle
 
@@ -20,6 +21,11 @@ class Merged:
     fates: DataFrame
     #: (src, tgt) after the merge.
     alignment: DataFrame
+    #: A row for every inconsistent source node (M-12), as ``conflict_rows`` says.
+    conflicts: DataFrame
+
+
+CLASHES = "src string, alice string, alice_target string, bob string, bob_target string, sink string, proper_flags int"
 
 
 def heights(pathed: DataFrame) -> DataFrame:
@@ -48,6 +54,7 @@ def merge(source: Taxonomy, union: Taxonomy, answers: DataFrame) -> Merged:
     plan = settle(plan.select("src", "parent_uid", "name", "rank", "source_ids", "proper_flags", "n_children", "height", "sink", "lub", "value"))
     top = plan.agg(F.max("height")).first()[0] or 0
 
+    witness = F.struct(F.coalesce("k_parent", F.lit("")).alias("p"), "kid", "k")
     own_qid = F.array(F.struct(F.lit(source.idspace).alias("prefix"), F.col("src").alias("id"))).cast(SOURCE_IDS)
     new_uid = F.concat(F.lit(f"{source.idspace}:"), F.col("src"))
 
@@ -62,6 +69,7 @@ def merge(source: Taxonomy, union: Taxonomy, answers: DataFrame) -> Merged:
     fresh = tips.where("fate LIKE 'new/%'")
     nodes = settle(union.nodes.select(*COLUMNS).withColumn("detached", F.lit(False)).union(copies(fresh, F.lit(None).cast("string"), F.lit(0), True)))
     images = settle(yes.union(fresh.select("src", new_uid.alias("tgt"))))
+    clashes = []
 
     for h in range(1, top + 1):
         level = plan.where(F.col("height") == h).join(yes, "src", "left").select("src", "name", "rank", "proper_flags", "sink", "lub", F.col("tgt").alias("image"))
@@ -70,7 +78,7 @@ def merge(source: Taxonomy, union: Taxonomy, answers: DataFrame) -> Merged:
         kids = kids.join(images.select(F.col("src").alias("kid"), F.col("tgt").alias("k")), "kid").join(pathed.select(F.col("uid").alias("k"), F.col("parent_uid").alias("k_parent"), F.col("path").alias("k_path"), F.col("proper_flags").alias("k_flags"), F.col("detached").alias("k_detached")), "k")
         kids = settle(kids)
         settled = kids.where(_placed("kid_flags") & ~F.col("k_detached") & _placed("k_flags"))
-        seen = settled.groupBy("src").agg(F.count("*").alias("n"), F.min(F.coalesce("k_parent", F.lit(""))).alias("low"), F.max(F.coalesce("k_parent", F.lit(""))).alias("high"))
+        seen = settled.groupBy("src").agg(F.count("*").alias("n"), F.min(F.coalesce("k_parent", F.lit(""))).alias("low"), F.max(F.coalesce("k_parent", F.lit(""))).alias("high"), F.min(witness).alias("alice"), F.max(witness).alias("bob"))
         # Whether every placed child of a node is the image of some source node.
         stray = pathed.where(~F.col("detached") & _placed("proper_flags")).join(images.select(F.col("tgt").alias("uid")), "uid", "left_anti").select(F.coalesce("parent_uid", F.lit("")).alias("sink_key")).distinct().withColumn("stray", F.lit(True))
         where = pathed.select(F.col("uid").alias("_u"), F.col("path").alias("_p"))
@@ -84,7 +92,8 @@ def merge(source: Taxonomy, union: Taxonomy, answers: DataFrame) -> Merged:
         point = F.when(F.col("lub").isNotNull() & (F.col("sink").isNull() | F.coalesce(F.array_contains("lub_path", F.col("sink")), F.lit(False))), F.col("lub")).otherwise(F.col("sink"))
         d = d.withColumn("fate", fate)
         target = F.when(F.col("fate") == "mapped/internal", F.col("image")).when(F.col("fate").startswith("new/"), new_uid).when(F.col("fate").isin("reject/inconsistent", "reject/overtaken"), point).otherwise(F.when(F.col("low") != "", F.col("low")))
-        d = settle(d.withColumns({"target": target, "adds": F.when(F.col("fate").isin("reject/inconsistent", "reject/overtaken"), BIT["unplaced"]).otherwise(0)}).select("src", "name", "rank", "proper_flags", "fate", "target", "adds"))
+        d = settle(d.withColumns({"target": target, "adds": F.when(F.col("fate").isin("reject/inconsistent", "reject/overtaken"), BIT["unplaced"]).otherwise(0)}).select("src", "name", "rank", "proper_flags", "fate", "target", "adds", "sink", "alice", "bob"))
+        clashes.append(d.where("fate = 'reject/inconsistent'").select("src", "alice.kid", "alice.k", "bob.kid", "bob.k", "sink", "proper_flags").toDF("src", "alice", "alice_target", "bob", "bob_target", "sink", "proper_flags"))
         # A parent that is not under the sink is overtaken; the node counts as absorbed (M-6).
         fates = fates.union(d.select("src", F.when(F.col("fate") == "reject/overtaken", "reject/absorbed").otherwise(F.col("fate")).alias("fate")))
 
@@ -114,7 +123,28 @@ def merge(source: Taxonomy, union: Taxonomy, answers: DataFrame) -> Merged:
     nodes = nodes.drop("detached")
     nodes = transfer(source, nodes, yes)
     synonyms = copy_names(source, union, images, nodes)
-    return Merged(Taxonomy(settle(nodes), settle(synonyms), union.aliases, union.idspace), settle(fates), images)
+    nodes = settle(nodes)
+    clashed = reduce(DataFrame.union, clashes) if clashes else source.nodes.sparkSession.createDataFrame([], CLASHES)
+    return Merged(Taxonomy(nodes, settle(synonyms), union.aliases, union.idspace), settle(fates), images, conflict_rows(clashed, nodes))
+
+
+def conflict_rows(clashed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(src, alice, alice_target, alice_parent, alice_ancestor, bob, ..., mrca, sink, unplaced, depth, visible) (M-12).
+
+    Alice and Bob are two children of the source node whose images have different parents: the ones with the smallest
+    and the largest parent, then uid. The ancestors are the two below the images' common clade ``mrca``, with its depth (1 for a root; null
+    where one image holds the other); ``unplaced`` counts the unplaced children of the sink. All as the union is after the merge.
+    """
+    pathed = settle(tree.with_path(nodes).select("uid", "parent_uid", "path", "proper_flags"))
+    loose = pathed.where(codecs.has(F.col("proper_flags"), BIT["unplaced"])).groupBy(F.col("parent_uid").alias("_sink")).agg(F.count("*").alias("unplaced"))
+    d = clashed
+    for who in ("alice", "bob"):
+        d = d.join(pathed.select(F.col("uid").alias(f"{who}_target"), F.col("parent_uid").alias(f"{who}_parent"), F.col("path").alias(f"{who}_path")), f"{who}_target", "left")
+    d = d.join(loose, F.col("sink").eqNullSafe(F.col("_sink")), "left")
+    two = paths.divergence("alice_path", "bob_path")
+    d = d.withColumns({"two": two, "mrca": F.when(two.isNotNull(), paths.mrca("alice_path", "bob_path")), "depth": F.when(two.isNotNull(), paths.common_length("alice_path", "bob_path"))})
+    visible = ~codecs.has(F.col("proper_flags"), SUPPRESSED) | codecs.has(F.col("proper_flags"), BIT["forced_visible"])
+    return d.select("src", "alice", "alice_target", "alice_parent", F.col("two.left").alias("alice_ancestor"), "bob", "bob_target", "bob_parent", F.col("two.right").alias("bob_ancestor"), "mrca", "sink", F.coalesce("unplaced", F.lit(0)).alias("unplaced"), "depth", visible.alias("visible"))
 
 
 def transfer(source: Taxonomy, nodes: DataFrame, yes: DataFrame) -> DataFrame:

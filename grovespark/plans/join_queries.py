@@ -81,12 +81,29 @@ def p4_qids(spark, d):
     return q.select(F.when(F.col("qid").startswith("tpch:"), "tpch").otherwise("p_brand").alias("kind"), "qid", "uid")
 
 
-@query()
-def m1_merge(spark, d):
-    """H3 merged into H2: fates of the source's nodes."""
+#: The size bands of H3 against the types of H2 without each tenth part: how many types are left of a band, and their parts.
+BANDS = """WITH b AS (SELECT p_brand, 'size ' || CAST(floor(p_size / 10) AS BIGINT) AS band, count(DISTINCT p_type) FILTER (p_partkey % 10 <> 0) AS types, count(*) FILTER (p_partkey % 10 = 0) AS lost,
+    min({'p': 'g:' || p_brand || ':' || p_type, 'k': 'p' || p_partkey}) FILTER (p_partkey % 10 <> 0) AS alice, max({'p': 'g:' || p_brand || ':' || p_type, 'k': 'p' || p_partkey}) FILTER (p_partkey % 10 <> 0) AS bob FROM part GROUP BY 1, 2)"""
+
+
+def _merged(spark, d):
     src, tgt = catalogue(spark, d, by_size=True), catalogue(spark, d, drop_tenth=True)
     same = src.nodes.join(tgt.nodes.select("uid"), "uid", "left_semi").select(F.col("uid").alias("src"), F.col("uid").alias("tgt"), F.lit(3).alias("value"))
-    return merge.summary(merge.merge(src, tgt, same).fates)
+    return merge.merge(src, tgt, same)
+
+
+@query(BANDS + """ SELECT fate, n FROM (SELECT CASE WHEN types = 0 THEN 'new/graft' WHEN types = 1 THEN 'reject/absorbed' ELSE 'reject/inconsistent' END AS fate, count(*) AS n FROM b GROUP BY 1
+  UNION ALL SELECT CASE WHEN p_partkey % 10 = 0 THEN 'new/tip' ELSE 'mapped/tip' END, count(*) FROM part GROUP BY 1 UNION ALL SELECT 'mapped/internal', 1 + count(DISTINCT p_brand) FROM part)""")
+def m1_merge(spark, d):
+    """H3 merged into H2: fates of the source's nodes."""
+    return merge.summary(_merged(spark, d).fates)
+
+
+@query(BANDS + """ SELECT 'g:' || b.p_brand || ':' || band AS src, alice.k AS alice, alice.k AS alice_target, alice.p AS alice_parent, alice.p AS alice_ancestor, bob.k AS bob, bob.k AS bob_target, bob.p AS bob_parent, bob.p AS bob_ancestor,
+  'b:' || b.p_brand AS mrca, 'b:' || b.p_brand AS sink, CAST(unplaced AS BIGINT) AS unplaced, 2 AS depth, true AS visible FROM b JOIN (SELECT p_brand, sum(lost) FILTER (types > 1) AS unplaced FROM b GROUP BY 1) USING (p_brand) WHERE types > 1""")
+def m12_conflicts(spark, d):
+    """The size bands whose parts lie in several types, each with two parts to show it."""
+    return _merged(spark, d).conflicts
 
 
 @query("""SELECT p_brand, p_type, CASE WHEN count(*) = 1 THEN 'partial_path_of' WHEN count(DISTINCT floor(p_size / 10)) = 1 THEN (CASE WHEN count(*) = any_value(w) THEN 'supported_by' ELSE 'resolves' END) ELSE (CASE WHEN bool_and(full_) THEN 'resolves' ELSE 'conflicts_with' END) END AS status

@@ -49,6 +49,10 @@ def test_golden_merges(spark):
     assert edges(got.union.nodes) == edges(want.nodes)
     dead = {(r["name"], r["proper_flags"]) for r in got.union.nodes.where(F.col("proper_flags") != 0).collect()}
     assert dead == {("x7", BIT["merged"]), ("y7", BIT["merged"]), ("w8", BIT["merged"])}
+    names = {r["uid"]: r["name"] for f in (source.nodes, got.union.nodes) for r in f.collect()}
+    rows = [[names.get(v, v) for v in r] for r in got.conflicts.collect()]
+    # The only inconsistent node has no placed pair under one clade below the sink.
+    assert [r[0] for r in rows] == [names[r["src"]] for r in got.fates.where("fate = 'reject/inconsistent'").collect()]
     assert {r["problem"]: r["n"] for r in tree.integrity(got.union).collect()} == {"missing parent": 0, "repeated id": 0, "no path to a root": 0, "synonym without node": 0}
 
 
@@ -64,3 +68,15 @@ def test_newick_round_trip(spark):
     text = "((a,'b c')x,(d,'it''s')'y (1)')z;"
     nodes = newick.read(spark.createDataFrame([("1", text)], "tree_id string, newick string"))
     assert newick.write(nodes).first()["newick"] == text
+
+
+def test_conflict_rows_name_both_witnesses(spark):
+    target, source = forest(spark, ["(((a,b)x,(c,d)y)z,w)u"], "t"), forest(spark, ["(((a,c,new)p,(b,d)q)z,w)u"], "s")
+    got = merge.merge(source, target, by_name(source, target))
+    names = {r["uid"]: r["name"] for f in (source.nodes, got.union.nodes) for r in f.collect()}
+    rows = {tuple(names.get(v, v) for v in r) for r in got.conflicts.collect()}
+    # p and q hold children of both x and y; what p adds goes unplaced under their common clade.
+    assert rows == {
+        ("p0", "a0", "a0", "x0", "x0", "c0", "c0", "y0", "y0", "z0", "z0", 1, 2, True),
+        ("q0", "b0", "b0", "x0", "x0", "d0", "d0", "y0", "y0", "z0", "z0", 1, 2, True),
+    }
