@@ -143,38 +143,134 @@ CRITERIA: tuple[Heuristic, ...] = (
 
 
 def scored(pairs: DataFrame, src_info: DataFrame, tgt_info: DataFrame, ctx: dict, criteria: Sequence[Heuristic] = CRITERIA) -> DataFrame:
-    """``pairs`` (src, tgt, modes) with a column for each heuristic's score."""
+    """``pairs`` (src, tgt) with a column for each heuristic's score; each is a row of ``eliminate`` of its own."""
     j = pairs.join(src_info, F.col("src") == F.col("uid_s")).join(tgt_info, F.col("tgt") == F.col("uid_t"))
     if ctx.get("overlap") is not None and not isinstance(ctx["overlap"], bool):
         j = j.join(ctx["overlap"], ["src", "tgt"], "left")
-    return j.select("src", "tgt", "modes", "n_children_s", *(f(ctx).alias(f"s{i}") for i, (_, f) in enumerate(criteria)))
+    return j.select("src", F.col("tgt").alias("low"), F.col("tgt").alias("high"), F.lit(1).cast("long").alias("weight"), F.lit(1).cast("long").alias("n"), "n_children_s", *(f(ctx).cast("int").alias(f"s{i}") for i, (_, f) in enumerate(criteria)))
+
+
+#: What target nodes of one name may differ in, apart from lineage, ids and members.
+DENSE = ("division_t", "division_path_t", "rank_t", "prime", "inner")
+
+
+def grouped(own: DataFrame, other: DataFrame, si: DataFrame, ti: DataFrame, sparse: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, members): the candidates of every source node as groups that no heuristic tells apart, not as pairs.
+
+    ``own`` (src, name) and ``other`` (tgt, name): one name a source. The target nodes of a name fall into few groups by
+    division, rank and whether it is their primary name. A source has a row for each group of its name with the nodes
+    that are not in a row below, one for each part of it on the same lineage as the source (found by joins on names of lines), and one for each node of
+    ``sparse`` (src, tgt): those that share an id or a member with it. So rows are a partition of the candidates with a ``weight``, and their number
+    grows with the nodes, not with the pairs. ``low`` and ``high`` are the smallest and largest uid of a group of ``n``; ``members``
+    has the nodes (name, tgt) with their ``group`` and ``part``.
+    """
+    told = other.join(ti, F.col("tgt") == F.col("uid_t")).withColumn("prime", F.coalesce(F.col("name") == F.col("name_t"), F.lit(False))).withColumn("inner", F.col("n_children_t") > 0)
+    members = settle(told.select("name", "tgt", F.struct(*DENSE).alias("group"), F.when(F.col("quasi_name_t").isNotNull(), F.struct(*DENSE, "quasi_name_t", "line_t")).alias("part")))
+    count = [F.count("*").alias("n"), F.min("tgt").alias("low"), F.max("tgt").alias("high")]
+    groups, parts = members.groupBy("name", "group").agg(*count), settle(members.where("part IS NOT NULL").groupBy("name", "group", "part").agg(*count))
+    lines = own.join(si.select(F.col("uid_s").alias("src"), "quasi_name_s", "line_s"), "src").where("quasi_name_s IS NOT NULL").select("src", "name", F.struct("quasi_name_s", "line_s").alias("line"))
+    kinds = settle(lines.select("name", "line").distinct())
+    down = parts.select("name", "part", F.explode("part.line_t").alias("at")).join(kinds.select("name", "line", F.col("line.quasi_name_s").alias("at")), ["name", "at"])
+    up = kinds.select("name", "line", F.explode("line.line_s").alias("at")).join(parts.select("name", "part", F.col("part.quasi_name_t").alias("at")), ["name", "at"])
+    near = down.select("name", "line", "part").union(up.select("name", "line", "part")).distinct().join(parts, ["name", "part"])
+    on_line = settle(lines.join(near, ["name", "line"]).select("src", "name", "group", "part", "n", "low", "high"))
+    alone = settle(own.join(sparse.select("src", "tgt").distinct(), "src").join(members, ["name", "tgt"]).select("src", "name", "tgt", "group", "part"))
+    inside = alone.join(on_line.select("src", "part", F.lit(True).alias("lined")), ["src", "part"], "left")
+    taken = on_line.select("src", "group", F.col("n").alias("k")).union(inside.where("lined IS NULL").select("src", "group", F.lit(1).cast("long"))).groupBy("src", "group").agg(F.sum("k").alias("k"))
+    none = F.lit(None).cast("string")
+    rest = own.join(groups, "name").join(taken, ["src", "group"], "left").select("src", "name", none.alias("tgt"), "group", F.lit(None).cast(dict(members.dtypes)["part"]).alias("part"), "n", "low", "high", (F.col("n") - F.coalesce("k", F.lit(0))).alias("weight"))
+    cut = on_line.join(alone.groupBy("src", "part").agg(F.count("*").alias("k")), ["src", "part"], "left").select("src", "name", none.alias("tgt"), "group", "part", "n", "low", "high", (F.col("n") - F.coalesce("k", F.lit(0))).alias("weight"))
+    one = F.lit(1).cast("long")
+    single = alone.select("src", "name", "tgt", "group", "part", one.alias("n"), F.col("tgt").alias("low"), F.col("tgt").alias("high"), one.alias("weight"))
+    return rest.union(cut).union(single).where("weight > 0"), members
+
+
+def scored_groups(rows: DataFrame, si: DataFrame, ti: DataFrame, ctx: dict, criteria: Sequence[Heuristic] = CRITERIA) -> DataFrame:
+    """``rows`` of ``grouped`` with a column for each heuristic's score."""
+    ids = ti.select(F.col("uid_t").alias("tgt"), "name_t", "source_ids_t", F.col("n_children_t").alias("kids"))
+    j = rows.join(si, F.col("src") == F.col("uid_s")).join(ids, "tgt", "left").withColumn("uid_t", F.col("tgt"))
+    if ctx.get("overlap") is not None and not isinstance(ctx["overlap"], bool):
+        of_all = ctx["overlap"].groupBy("src").agg(F.first("n_all").alias("n_all"))
+        j = j.join(ctx["overlap"].select("src", "tgt", "n_in"), ["src", "tgt"], "left").join(of_all, "src", "left")
+    # A group's nodes have the source's name as their own or none of them has.
+    own_name = F.when(F.col("group.prime"), F.col("name"))
+    whole = {"division_t": F.col("group.division_t"), "division_path_t": F.col("group.division_path_t"), "rank_t": F.col("group.rank_t"), "quasi_name_t": F.col("part.quasi_name_t"), "line_t": F.col("part.line_t"), "name_t": F.coalesce("name_t", own_name), "n_children_t": F.coalesce("kids", F.col("group.inner").cast("int")), "source_ids_t": F.coalesce("source_ids_t", F.array().cast(dict(ti.dtypes)["source_ids_t"]))}
+    j = j.withColumns(whole)
+    return j.select("src", "name", "tgt", "group", "part", "low", "high", "weight", "n", "n_children_s", *(f(ctx).cast("int").alias(f"s{i}") for i, (_, f) in enumerate(criteria)))
+
+
+ROUND = "struct<heuristic:string,score:int,before:bigint,after:bigint,loser:string>"
 
 
 def eliminate(scores: DataFrame, criteria: Sequence[Heuristic] = CRITERIA) -> DataFrame:
-    """(src, tgt, value, reason) by ranked elimination (J-13), with the number of candidates at first and at last.
+    """(src, tgt, value, reason, n_first, n_left, rounds) by ranked elimination (J-13).
 
     Each heuristic in its order leaves the candidates of the highest score, if that is not negative; all rounds are
     windows over one partitioning by src. A source without candidate left is rejected; one that a heuristic cut down
-    to one takes that heuristic as reason and the last score as value, which may be 0 and then is no alignment.
+    to one takes that heuristic as reason and the last score as value, which may be 0 and then is no alignment. ``rounds`` is the
+    evidence (A-2): what each heuristic that was asked found best, how many candidates it met and left, and one that it put out (null if none):
+    the largest, or the smallest if the largest is the one that is left in the end.
     """
     w = Window.partitionBy("src")
-    d = scores.withColumns({"alive": F.lit(True), "done": F.lit(False), "last": F.lit(-100), "decider": F.lit(None).cast("string"), "left": F.count("*").over(w)}).withColumn("at_first", F.col("left"))
+    d = scores.withColumns({"alive": F.lit(True), "done": F.lit(False), "last": F.lit(-100), "decider": F.lit(None).cast("string"), "left": F.sum("weight").over(w), "rounds": F.array().cast(f"array<struct<heuristic:string,score:int,before:bigint,after:bigint,high:string,low:string>>")}).withColumn("at_first", F.col("left"))
     for i, (label, _) in enumerate(criteria):
         d = d.withColumn("top", F.max(F.when(F.col("alive"), F.col(f"s{i}"))).over(w))
         stay = F.col("alive") & (F.col(f"s{i}") == F.col("top")) & (F.col("top") >= 0)
-        d = d.withColumn("alive", F.when(F.col("done"), F.col("alive")).otherwise(stay))
-        d = d.withColumn("now", F.sum(F.col("alive").cast("int")).over(w))
+        d = d.withColumns({"out": F.col("alive") & ~stay & ~F.col("done"), "alive": F.when(F.col("done"), F.col("alive")).otherwise(stay)})
+        d = d.withColumns({"now": F.sum(F.when(F.col("alive"), F.col("weight")).otherwise(0)).over(w), "out_high": F.max(F.when(F.col("out"), F.col("high"))).over(w), "out_low": F.min(F.when(F.col("out"), F.col("low"))).over(w)})
         d = d.withColumns({
             "decider": F.when(~F.col("done") & (F.col("now") == 1) & (F.col("left") > 1), label).otherwise(F.col("decider")),
             "last": F.when(F.col("done"), F.col("last")).otherwise(F.coalesce("top", "last")),
+            "rounds": F.when(F.col("done"), F.col("rounds")).otherwise(F.array_append("rounds", F.struct(F.lit(label).alias("heuristic"), F.col("top").alias("score"), F.col("left").alias("before"), F.col("now").alias("after"), F.col("out_high").alias("high"), F.col("out_low").alias("low")))),
             "left": F.col("now"),
             "done": F.col("done") | (F.col("now") == 0) | ((F.col("now") == 1) & (F.coalesce("top", F.lit(0)) > 0)),
         })
-    best = d.groupBy("src").agg(F.first("left").alias("n_left"), F.first("at_first").alias("n_first"), F.first("last").alias("last"), F.first("decider").alias("decider"), F.first("n_children_s").alias("n_children"), F.min(F.when(F.col("alive"), F.col("tgt"))).alias("tgt"))
+    keep = [F.first(c).alias(n) for c, n in (("left", "n_left"), ("at_first", "n_first"), ("last", "last"), ("decider", "decider"), ("n_children_s", "n_children"), ("rounds", "rounds"))]
+    grouping = {"name", "group", "part"} <= set(d.columns)
+    winner = F.struct("low", "n", *(["tgt", "name", "group", "part"] if grouping else []))
+    best = d.groupBy("src").agg(*keep, F.first(F.when(F.col("alive"), winner), ignorenulls=True).alias("won"))
     one = F.col("n_left") == 1
     value = F.when(F.col("n_left") == 0, F.col("last")).when(one & F.col("decider").isNull() & (F.col("last") <= 0), 2).when(one, F.col("last")).otherwise(0)
     reason = F.when(F.col("n_left") == 0, "rejected").when(one, F.coalesce("decider", F.when(F.col("last") > 0, "confirmed").otherwise("by elimination"))).otherwise(F.when(F.col("n_children") > 0, "ambiguous internal").otherwise("ambiguous tip"))
-    return best.select("src", F.when(one, F.col("tgt")).alias("tgt"), value.cast("int").alias("value"), reason.alias("reason"), "n_first", "n_left")
+    return best.select("src", F.when(one, F.col("won.low")).alias("tgt"), value.cast("int").alias("value"), reason.alias("reason"), "n_first", "n_left", "rounds", "won")
+
+
+def _told(answers: DataFrame) -> DataFrame:
+    """``answers`` with one loser for each round."""
+    rounds = F.transform("rounds", lambda r: F.struct(r["heuristic"].alias("heuristic"), r["score"].alias("score"), r["before"].alias("before"), r["after"].alias("after"), F.when(r["high"].eqNullSafe(F.col("tgt")), r["low"]).otherwise(r["high"]).alias("loser")))
+    return answers.withColumn("rounds", rounds).drop("won")
+
+
+def eliminate_groups(rows: DataFrame, members: DataFrame, scores: DataFrame, criteria: Sequence[Heuristic] = CRITERIA) -> DataFrame:
+    """``eliminate`` over ``rows`` of ``grouped``. Where one node of a group is left over, it is the member in no other row."""
+    found = settle(eliminate(scores, criteria))
+    open_ = F.col("tgt").isNotNull() & (F.col("won.n") > 1)
+    left = found.where(open_).select("src", "won.name", "won.group", "won.part")
+    own = left.alias("l").join(members.alias("m"), (F.col("l.name") == F.col("m.name")) & (F.col("l.group") == F.col("m.group")) & (F.col("l.part").isNull() | F.col("l.part").eqNullSafe(F.col("m.part")))).select("src", F.col("m.tgt").alias("tgt"), F.col("l.part").isNull().alias("whole"), F.col("m.part").alias("part"))
+    own = own.join(rows.where("tgt IS NOT NULL").select("src", "tgt"), ["src", "tgt"], "left_anti")
+    lined = rows.where("tgt IS NULL AND part IS NOT NULL").select("src", "part", F.lit(True).alias("lined")).distinct()
+    own = own.join(lined, ["src", "part"], "left").where("NOT whole OR lined IS NULL").groupBy("src").agg(F.min("tgt").alias("member"))
+    return _told(found.join(own, "src", "left").withColumn("tgt", F.when(open_, F.col("member")).otherwise(F.col("tgt"))).drop("member"))
+
+
+def choices(answers: DataFrame) -> DataFrame:
+    """(src, heuristic, score, winner, loser): where a heuristic cut several candidates down to one (A-4)."""
+    r = answers.select("src", "tgt", F.explode("rounds").alias("r")).where("r.before > 1 AND r.after = 1")
+    return r.select("src", "r.heuristic", "r.score", F.col("tgt").alias("winner"), "r.loser")
+
+
+def evidence(answers: DataFrame, names_: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """(name, src, nth, heuristic, score, before, after, loser, tgt, reason): the rounds of sources of interest (A-2).
+
+    Of interest are sources with several candidates, those that end in a no, and those with a name in ``wanted`` (name). ``names_``: (uid, name).
+    """
+    d = answers.join(names_.select(F.col("uid").alias("src"), "name"), "src")
+    if wanted is not None:
+        d = d.join(wanted.select("name").distinct().withColumn("asked", F.lit(True)), "name", "left")
+    else:
+        d = d.withColumn("asked", F.lit(None).cast("boolean"))
+    d = d.where((F.col("n_first") > 1) | (F.col("value") < 0) | F.coalesce("asked", F.lit(False)))
+    return d.select("name", "src", F.posexplode("rounds").alias("nth", "r"), "tgt", "reason").select("name", "src", "nth", "r.*", "tgt", "reason")
 
 
 def quasi_tips(src_pathed: DataFrame, answers: DataFrame) -> DataFrame:
@@ -184,31 +280,71 @@ def quasi_tips(src_pathed: DataFrame, answers: DataFrame) -> DataFrame:
     return yes.join(covered, "src", "left_anti")
 
 
+def overlap_pairs(src_pathed: DataFrame, tgt_pathed: DataFrame, aligned: DataFrame, own: DataFrame, other: DataFrame) -> DataFrame:
+    """(src, tgt, n_in, n_all): as ``overlaps``, for all nodes of one name (``own``, ``other``) that share a member.
+
+    Both lines of an aligned node meet by the node and the name, so only true overlaps are made.
+    """
+    a = settle(src_pathed.select(F.col("uid").alias("s"), F.col("path").alias("sp")).join(aligned.select(F.col("src").alias("s"), F.col("tgt").alias("t")), "s").join(tgt_pathed.select(F.col("uid").alias("t"), F.col("path").alias("tp")), "t"))
+    up = a.select("s", F.explode("sp").alias("src"))
+    total = up.groupBy("src").agg(F.count("*").alias("n_all"))
+    both = up.join(own, "src").join(a.select("s", F.explode("tp").alias("tgt")).join(other, "tgt"), ["s", "name"])
+    return both.select("s", "src", "tgt").groupBy("src", "tgt").agg(F.count("*").alias("n_in")).join(total, "src")
+
+
 def align(src: Taxonomy, tgt: Taxonomy, divisions: DataFrame | None = None, curated: DataFrame | None = None, criteria: Sequence[Heuristic] = CRITERIA) -> DataFrame:
-    """(src, tgt, value, reason, n_first, n_left) for every source node with a candidate.
+    """(src, tgt, value, reason, n_first, n_left, rounds) for every source node with a candidate.
 
     First all nodes are tried without the overlap of members; the aligned ones without aligned descendants count as
     members. Then the nodes above them are tried again with the overlap. ``curated`` (src, tgt) comes before both.
+    Sources with one name meet groups of candidates; those with synonyms, or with a candidate by id alone, meet each.
     """
     sp, tp = settle(tree.with_children(tree.with_path(src.nodes))), settle(tree.with_children(tree.with_path(tgt.nodes)))
-    pairs = candidates(src, tgt)
+    mine, other = names(src, common=False).select(F.col("uid").alias("src"), "name").distinct(), settle(names(tgt).select(F.col("uid").alias("tgt"), "name").distinct())
     if curated is not None:
-        pairs = pairs.join(curated.select("src"), "src", "left_anti")
-    pairs = settle(pairs)
+        mine = mine.join(curated.select("src"), "src", "left_anti")
+    mine = settle(mine)
+    ids = src.nodes.select(F.col("uid").alias("src"), F.explode("source_ids").alias("q")).select("src", codecs.print_qid(F.col("q")).alias("qid"))
+    by_id = settle(ids.join(unique_qids(tgt.nodes).withColumnRenamed("uid", "tgt"), "qid").select("src", "tgt").distinct())
+    by_name = mine.join(other, "name", "left_semi").select("src").distinct()
+    without = mine.select("src").distinct().join(by_name, "src", "left_anti").join(by_id, "src", "left_anti")
+    gender = src.nodes.join(without, F.col("uid") == F.col("src"), "left_semi").select(F.col("uid").alias("src"), codecs.gender_variant(F.col("name")).alias("name")).where("name IS NOT NULL")
+    several = mine.groupBy("src").agg(F.count("*").alias("k")).where("k > 1").select("src")
+    named = by_id.join(mine, "src").join(other, ["tgt", "name"], "left_semi").select("src", "tgt")
+    each = settle(several.union(by_id.join(named, ["src", "tgt"], "left_anti").select("src")).distinct())
+    if curated is not None:
+        each = each.join(curated.select("src"), "src", "left_anti")
+    own = settle(mine.join(each, "src", "left_anti").union(gender.join(each, "src", "left_anti")).join(other, "name", "left_semi"))
+    pairs = settle(candidates(src.with_nodes(src.nodes.join(each, F.col("uid") == F.col("src"), "left_semi")), tgt).join(each, "src", "left_semi").select("src", "tgt"))
     si, ti = settle(described(sp, tgt, divisions, "s")), settle(described(tp, src, divisions, "t"))
     ctx = {"src_idspace": src.idspace, "tgt_idspace": tgt.idspace, "overlap": False}
-    first = settle(eliminate(scored(pairs, si, ti, ctx, criteria), criteria))
+
+    def qids(info: DataFrame, side: str, idspace: str, uid: str) -> DataFrame:
+        first = codecs.print_qid(_first_qid(side, idspace))
+        return info.select(F.col(f"uid_{side}").alias(uid), F.explode(F.array_distinct(F.concat(F.array(first), F.transform(f"source_ids_{side}", codecs.print_qid)))).alias("qid"))
+
+    shared = own.join(qids(si, "s", src.idspace, "src"), "src").join(other.join(qids(ti, "t", tgt.idspace, "tgt"), "tgt"), ["name", "qid"]).select("src", "tgt")
+
+    def tried(own: DataFrame, sparse: DataFrame, pairs: DataFrame) -> DataFrame:
+        rows, members = grouped(own, other, si, ti, sparse)
+        rows = settle(rows)
+        found = eliminate_groups(rows, members, scored_groups(rows, si, ti, ctx, criteria), criteria)
+        return settle(found.union(_told(eliminate(scored(pairs, si, ti, ctx, criteria), criteria))))
+
+    first = tried(own, shared, pairs)
     if curated is not None:
-        fixed = curated.select("src", "tgt", F.lit(3).alias("value"), F.lit("curated").alias("reason"), F.lit(1).alias("n_first").cast("long"), F.lit(1).alias("n_left").cast("long"))
+        one = F.lit(1).cast("long")
+        fixed = curated.select("src", "tgt", F.lit(3).alias("value"), F.lit("curated").alias("reason"), one.alias("n_first"), one.alias("n_left"), F.array().cast(f"array<{ROUND}>").alias("rounds"))
         first = settle(first.union(fixed))
     low = settle(quasi_tips(sp, first))
     above = sp.join(low.select(F.col("src").alias("uid")), "uid", "left_semi").select(F.explode(F.slice("path", F.lit(1), F.size("path") - 1)).alias("src")).distinct()
     if curated is not None:
         above = above.join(curated.select("src"), "src", "left_anti")
     above = settle(above)
-    again = pairs.join(above, "src", "left_semi")
-    ctx["overlap"] = settle(overlaps(sp, tp, low, pairs.join(above, "src", "left_semi")))
-    second = eliminate(scored(again, si, ti, ctx, criteria), criteria)
+    again, pairs_again = own.join(above, "src", "left_semi"), settle(pairs.join(above, "src", "left_semi"))
+    common = settle(overlap_pairs(sp, tp, low, again, other))
+    ctx["overlap"] = settle(common.union(overlaps(sp, tp, low, pairs_again).select(*common.columns)))
+    second = tried(again, shared.join(above, "src", "left_semi").union(common.select("src", "tgt")), pairs_again)
     return settle(first.join(above, "src", "left_anti").union(second))
 
 
