@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -147,22 +148,31 @@ def scored(pairs: DataFrame, src_info: DataFrame, tgt_info: DataFrame, ctx: dict
     j = pairs.join(src_info, F.col("src") == F.col("uid_s")).join(tgt_info, F.col("tgt") == F.col("uid_t"))
     if ctx.get("overlap") is not None and not isinstance(ctx["overlap"], bool):
         j = j.join(ctx["overlap"], ["src", "tgt"], "left")
-    return j.select("src", F.col("tgt").alias("low"), F.col("tgt").alias("high"), F.lit(1).cast("long").alias("weight"), F.lit(1).cast("long").alias("n"), "n_children_s", *(f(ctx).cast("int").alias(f"s{i}") for i, (_, f) in enumerate(criteria)))
+    return j.select("src", F.col("tgt").alias("low"), F.col("tgt").alias("high"), F.lit(1).cast("long").alias("weight"), "n_children_s", *(f(ctx).cast("int").alias(f"s{i}") for i, (_, f) in enumerate(criteria)))
 
 
 #: What target nodes of one name may differ in, apart from lineage, ids and members.
 DENSE = ("division_t", "division_path_t", "rank_t", "prime", "inner")
 
 
-def grouped(own: DataFrame, other: DataFrame, si: DataFrame, ti: DataFrame, sparse: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, members): the candidates of every source node as groups that no heuristic tells apart, not as pairs.
+@dataclass(frozen=True)
+class Groups:
+    """The target nodes of every name by what the heuristics see of them."""
 
-    ``own`` (src, name) and ``other`` (tgt, name): one name a source. The target nodes of a name fall into few groups by
-    division, rank and whether it is their primary name. A source has a row for each group of its name with the nodes
-    that are not in a row below, one for each part of it on the same lineage as the source (found by joins on names of lines), and one for each node of
-    ``sparse`` (src, tgt): those that share an id or a member with it. So rows are a partition of the candidates with a ``weight``, and their number
-    grows with the nodes, not with the pairs. ``low`` and ``high`` are the smallest and largest uid of a group of ``n``; ``members``
-    has the nodes (name, tgt) with their ``group`` and ``part``.
+    #: (name, tgt, group, part): the nodes.
+    members: DataFrame
+    #: (name, group, n, low, high).
+    groups: DataFrame
+    #: (src, name, group, part, n, low, high): the parts of groups on the line of a source.
+    on_line: DataFrame
+
+
+def grouped(own: DataFrame, other: DataFrame, si: DataFrame, ti: DataFrame) -> Groups:
+    """The groups that sources ``own`` (src, name) meet among ``other`` (tgt, name).
+
+    The target nodes of a name fall into few groups by division, rank and whether it is their primary name, and those
+    into parts by their lineage. The parts on the lineage of a source are found by joins on the names of lines. ``low`` and
+    ``high`` are the smallest and largest uid of a group of ``n``.
     """
     told = other.join(ti, F.col("tgt") == F.col("uid_t")).withColumn("prime", F.coalesce(F.col("name") == F.col("name_t"), F.lit(False))).withColumn("inner", F.col("n_children_t") > 0)
     members = settle(told.select("name", "tgt", F.struct(*DENSE).alias("group"), F.when(F.col("quasi_name_t").isNotNull(), F.struct(*DENSE, "quasi_name_t", "line_t")).alias("part")))
@@ -174,19 +184,38 @@ def grouped(own: DataFrame, other: DataFrame, si: DataFrame, ti: DataFrame, spar
     up = kinds.select("name", "line", F.explode("line.line_s").alias("at")).join(parts.select("name", "part", F.col("part.quasi_name_t").alias("at")), ["name", "at"])
     near = down.select("name", "line", "part").union(up.select("name", "line", "part")).distinct().join(parts, ["name", "part"])
     on_line = settle(lines.join(near, ["name", "line"]).select("src", "name", "group", "part", "n", "low", "high"))
+    return Groups(members, settle(groups), on_line)
+
+
+def group_rows(own: DataFrame, g: Groups, sparse: DataFrame) -> DataFrame:
+    """The candidates of every source node as groups that no heuristic tells apart, not as pairs.
+
+    A source has a row for each group of its name with the nodes that are in no row below, one for each part of it on
+    its lineage, and one for each node of ``sparse`` (src, tgt): those that share an id or a member with it. So rows are a
+    partition of the candidates with a ``weight``, and their number grows with the nodes, not with the pairs.
+    """
+    keys, one, none = ["src", "name", "group"], F.lit(1).cast("long"), F.lit(None).cast("string")
+    members, on_line = g.members, g.on_line.join(own, ["src", "name"], "left_semi")
     alone = settle(own.join(sparse.select("src", "tgt").distinct(), "src").join(members, ["name", "tgt"]).select("src", "name", "tgt", "group", "part"))
     inside = alone.join(on_line.select("src", "part", F.lit(True).alias("lined")), ["src", "part"], "left")
-    taken = on_line.select("src", "group", F.col("n").alias("k")).union(inside.where("lined IS NULL").select("src", "group", F.lit(1).cast("long"))).groupBy("src", "group").agg(F.sum("k").alias("k"))
-    none = F.lit(None).cast("string")
-    rest = own.join(groups, "name").join(taken, ["src", "group"], "left").select("src", "name", none.alias("tgt"), "group", F.lit(None).cast(dict(members.dtypes)["part"]).alias("part"), "n", "low", "high", (F.col("n") - F.coalesce("k", F.lit(0))).alias("weight"))
-    cut = on_line.join(alone.groupBy("src", "part").agg(F.count("*").alias("k")), ["src", "part"], "left").select("src", "name", none.alias("tgt"), "group", "part", "n", "low", "high", (F.col("n") - F.coalesce("k", F.lit(0))).alias("weight"))
-    one = F.lit(1).cast("long")
-    single = alone.select("src", "name", "tgt", "group", "part", one.alias("n"), F.col("tgt").alias("low"), F.col("tgt").alias("high"), one.alias("weight"))
-    return rest.union(cut).union(single).where("weight > 0"), members
+    # What is taken out of a group: how many, and the uids that could stand for its rest but are no part of it.
+    ends = on_line.select(*keys, F.col("n").alias("k"), F.array("low", "high").alias("u")).union(inside.select(*keys, F.when(F.col("lined"), 0).otherwise(1).cast("long"), F.array("tgt")))
+    taken = ends.groupBy(*keys).agg(F.sum("k").alias("k"), F.flatten(F.collect_list("u")).alias("gone"))
+    rest = own.join(g.groups, "name").join(taken, keys, "left").select(*keys, F.lit(None).cast(dict(members.dtypes)["part"]).alias("part"), "n", "low", "high", "k", "gone")
+    cut = on_line.join(alone.groupBy("src", "part").agg(F.count("*").alias("k"), F.collect_list("tgt").alias("gone")), ["src", "part"], "left").select(*rest.columns)
+    both = rest.union(cut).withColumns({"weight": F.col("n") - F.coalesce("k", F.lit(0)), "gone": F.coalesce("gone", F.array().cast("array<string>"))}).where("weight > 0")
+    low, high = (F.when(~F.array_contains("gone", F.col(c)), F.col(c)) for c in ("low", "high"))
+    both = settle(both.withColumns({"low": F.coalesce(low, high), "high": F.coalesce(high, low)}).select(*keys, "part", "low", "high", "weight"))
+    # Where both ends are taken, another member stands for the rest.
+    hard = both.where("low IS NULL").alias("r").join(members.alias("m"), (F.col("r.name") == F.col("m.name")) & (F.col("r.group") == F.col("m.group")) & (F.col("r.part").isNull() | F.col("r.part").eqNullSafe(F.col("m.part")))).select("r.src", "r.name", "r.group", "r.part", "r.weight", "m.tgt", F.col("m.part").alias("of"))
+    hard = hard.join(alone.select("src", "tgt"), ["src", "tgt"], "left_anti").join(on_line.select("src", F.col("part").alias("of"), F.lit(True).alias("lined")), ["src", "of"], "left").where("part IS NOT NULL OR lined IS NULL")
+    hard = hard.groupBy(*keys, "part", "weight").agg(F.min("tgt").alias("low"), F.max("tgt").alias("high"))
+    single = alone.select(*keys, "part", "tgt", F.col("tgt").alias("low"), F.col("tgt").alias("high"), one.alias("weight"))
+    return both.where("low IS NOT NULL").select(*keys, "part", none.alias("tgt"), "low", "high", "weight").union(hard.select(*keys, "part", none, "low", "high", "weight")).union(single)
 
 
 def scored_groups(rows: DataFrame, si: DataFrame, ti: DataFrame, ctx: dict, criteria: Sequence[Heuristic] = CRITERIA) -> DataFrame:
-    """``rows`` of ``grouped`` with a column for each heuristic's score."""
+    """``group_rows`` with a column for each heuristic's score."""
     ids = ti.select(F.col("uid_t").alias("tgt"), "name_t", "source_ids_t", F.col("n_children_t").alias("kids"))
     j = rows.join(si, F.col("src") == F.col("uid_s")).join(ids, "tgt", "left").withColumn("uid_t", F.col("tgt"))
     if ctx.get("overlap") is not None and not isinstance(ctx["overlap"], bool):
@@ -196,7 +225,7 @@ def scored_groups(rows: DataFrame, si: DataFrame, ti: DataFrame, ctx: dict, crit
     own_name = F.when(F.col("group.prime"), F.col("name"))
     whole = {"division_t": F.col("group.division_t"), "division_path_t": F.col("group.division_path_t"), "rank_t": F.col("group.rank_t"), "quasi_name_t": F.col("part.quasi_name_t"), "line_t": F.col("part.line_t"), "name_t": F.coalesce("name_t", own_name), "n_children_t": F.coalesce("kids", F.col("group.inner").cast("int")), "source_ids_t": F.coalesce("source_ids_t", F.array().cast(dict(ti.dtypes)["source_ids_t"]))}
     j = j.withColumns(whole)
-    return j.select("src", "name", "tgt", "group", "part", "low", "high", "weight", "n", "n_children_s", *(f(ctx).cast("int").alias(f"s{i}") for i, (_, f) in enumerate(criteria)))
+    return j.select("src", "low", "high", "weight", "n_children_s", *(f(ctx).cast("int").alias(f"s{i}") for i, (_, f) in enumerate(criteria)))
 
 
 ROUND = "struct<heuristic:string,score:int,before:bigint,after:bigint,loser:string>"
@@ -208,49 +237,28 @@ def eliminate(scores: DataFrame, criteria: Sequence[Heuristic] = CRITERIA) -> Da
     Each heuristic in its order leaves the candidates of the highest score, if that is not negative; all rounds are
     windows over one partitioning by src. A source without candidate left is rejected; one that a heuristic cut down
     to one takes that heuristic as reason and the last score as value, which may be 0 and then is no alignment. ``rounds`` is the
-    evidence (A-2): what each heuristic that was asked found best, how many candidates it met and left, and one that it put out (null if none):
-    the largest, or the smallest if the largest is the one that is left in the end.
+    evidence (A-2): what each heuristic that was asked found best, how many candidates it met and left, and one that it put out (null if none).
     """
     w = Window.partitionBy("src")
-    d = scores.withColumns({"alive": F.lit(True), "done": F.lit(False), "last": F.lit(-100), "decider": F.lit(None).cast("string"), "left": F.sum("weight").over(w), "rounds": F.array().cast(f"array<struct<heuristic:string,score:int,before:bigint,after:bigint,high:string,low:string>>")}).withColumn("at_first", F.col("left"))
+    d = scores.withColumns({"alive": F.lit(True), "done": F.lit(False), "last": F.lit(-100), "decider": F.lit(None).cast("string"), "left": F.sum("weight").over(w), "rounds": F.array().cast(f"array<{ROUND}>")}).withColumn("at_first", F.col("left"))
     for i, (label, _) in enumerate(criteria):
         d = d.withColumn("top", F.max(F.when(F.col("alive"), F.col(f"s{i}"))).over(w))
         stay = F.col("alive") & (F.col(f"s{i}") == F.col("top")) & (F.col("top") >= 0)
         d = d.withColumns({"out": F.col("alive") & ~stay & ~F.col("done"), "alive": F.when(F.col("done"), F.col("alive")).otherwise(stay)})
-        d = d.withColumns({"now": F.sum(F.when(F.col("alive"), F.col("weight")).otherwise(0)).over(w), "out_high": F.max(F.when(F.col("out"), F.col("high"))).over(w), "out_low": F.min(F.when(F.col("out"), F.col("low"))).over(w)})
+        d = d.withColumns({"now": F.sum(F.when(F.col("alive"), F.col("weight")).otherwise(0)).over(w), "loser": F.max(F.when(F.col("out"), F.col("high"))).over(w)})
         d = d.withColumns({
             "decider": F.when(~F.col("done") & (F.col("now") == 1) & (F.col("left") > 1), label).otherwise(F.col("decider")),
             "last": F.when(F.col("done"), F.col("last")).otherwise(F.coalesce("top", "last")),
-            "rounds": F.when(F.col("done"), F.col("rounds")).otherwise(F.array_append("rounds", F.struct(F.lit(label).alias("heuristic"), F.col("top").alias("score"), F.col("left").alias("before"), F.col("now").alias("after"), F.col("out_high").alias("high"), F.col("out_low").alias("low")))),
+            "rounds": F.when(F.col("done"), F.col("rounds")).otherwise(F.array_append("rounds", F.struct(F.lit(label).alias("heuristic"), F.col("top").alias("score"), F.col("left").alias("before"), F.col("now").alias("after"), F.col("loser").alias("loser")))),
             "left": F.col("now"),
             "done": F.col("done") | (F.col("now") == 0) | ((F.col("now") == 1) & (F.coalesce("top", F.lit(0)) > 0)),
         })
     keep = [F.first(c).alias(n) for c, n in (("left", "n_left"), ("at_first", "n_first"), ("last", "last"), ("decider", "decider"), ("n_children_s", "n_children"), ("rounds", "rounds"))]
-    grouping = {"name", "group", "part"} <= set(d.columns)
-    winner = F.struct("low", "n", *(["tgt", "name", "group", "part"] if grouping else []))
-    best = d.groupBy("src").agg(*keep, F.first(F.when(F.col("alive"), winner), ignorenulls=True).alias("won"))
+    best = d.groupBy("src").agg(*keep, F.min(F.when(F.col("alive"), F.col("low"))).alias("tgt"))
     one = F.col("n_left") == 1
     value = F.when(F.col("n_left") == 0, F.col("last")).when(one & F.col("decider").isNull() & (F.col("last") <= 0), 2).when(one, F.col("last")).otherwise(0)
     reason = F.when(F.col("n_left") == 0, "rejected").when(one, F.coalesce("decider", F.when(F.col("last") > 0, "confirmed").otherwise("by elimination"))).otherwise(F.when(F.col("n_children") > 0, "ambiguous internal").otherwise("ambiguous tip"))
-    return best.select("src", F.when(one, F.col("won.low")).alias("tgt"), value.cast("int").alias("value"), reason.alias("reason"), "n_first", "n_left", "rounds", "won")
-
-
-def _told(answers: DataFrame) -> DataFrame:
-    """``answers`` with one loser for each round."""
-    rounds = F.transform("rounds", lambda r: F.struct(r["heuristic"].alias("heuristic"), r["score"].alias("score"), r["before"].alias("before"), r["after"].alias("after"), F.when(r["high"].eqNullSafe(F.col("tgt")), r["low"]).otherwise(r["high"]).alias("loser")))
-    return answers.withColumn("rounds", rounds).drop("won")
-
-
-def eliminate_groups(rows: DataFrame, members: DataFrame, scores: DataFrame, criteria: Sequence[Heuristic] = CRITERIA) -> DataFrame:
-    """``eliminate`` over ``rows`` of ``grouped``. Where one node of a group is left over, it is the member in no other row."""
-    found = settle(eliminate(scores, criteria))
-    open_ = F.col("tgt").isNotNull() & (F.col("won.n") > 1)
-    left = found.where(open_).select("src", "won.name", "won.group", "won.part")
-    own = left.alias("l").join(members.alias("m"), (F.col("l.name") == F.col("m.name")) & (F.col("l.group") == F.col("m.group")) & (F.col("l.part").isNull() | F.col("l.part").eqNullSafe(F.col("m.part")))).select("src", F.col("m.tgt").alias("tgt"), F.col("l.part").isNull().alias("whole"), F.col("m.part").alias("part"))
-    own = own.join(rows.where("tgt IS NOT NULL").select("src", "tgt"), ["src", "tgt"], "left_anti")
-    lined = rows.where("tgt IS NULL AND part IS NOT NULL").select("src", "part", F.lit(True).alias("lined")).distinct()
-    own = own.join(lined, ["src", "part"], "left").where("NOT whole OR lined IS NULL").groupBy("src").agg(F.min("tgt").alias("member"))
-    return _told(found.join(own, "src", "left").withColumn("tgt", F.when(open_, F.col("member")).otherwise(F.col("tgt"))).drop("member"))
+    return best.select("src", F.when(one, F.col("tgt")).alias("tgt"), value.cast("int").alias("value"), reason.alias("reason"), "n_first", "n_left", "rounds")
 
 
 def choices(answers: DataFrame) -> DataFrame:
@@ -326,11 +334,14 @@ def align(src: Taxonomy, tgt: Taxonomy, divisions: DataFrame | None = None, cura
     shared = own.join(qids(si, "s", src.idspace, "src"), "src").join(other.join(qids(ti, "t", tgt.idspace, "tgt"), "tgt"), ["name", "qid"]).select("src", "tgt")
 
     def tried(own: DataFrame, sparse: DataFrame, pairs: DataFrame) -> DataFrame:
-        rows, members = grouped(own, other, si, ti, sparse)
-        rows = settle(rows)
-        found = eliminate_groups(rows, members, scored_groups(rows, si, ti, ctx, criteria), criteria)
-        return settle(found.union(_told(eliminate(scored(pairs, si, ti, ctx, criteria), criteria))))
-
+        rows = settle(group_rows(own, groups, sparse))
+        found = scored_groups(rows, si, ti, ctx, criteria)
+        if not pairs.isEmpty():
+            found = found.union(scored(pairs, si, ti, ctx, criteria))
+        found = eliminate(found, criteria)
+        return settle(found)
+
+    groups = grouped(own, other, si, ti)
     first = tried(own, shared, pairs)
     if curated is not None:
         one = F.lit(1).cast("long")
@@ -343,7 +354,7 @@ def align(src: Taxonomy, tgt: Taxonomy, divisions: DataFrame | None = None, cura
     above = settle(above)
     again, pairs_again = own.join(above, "src", "left_semi"), settle(pairs.join(above, "src", "left_semi"))
     common = settle(overlap_pairs(sp, tp, low, again, other))
-    ctx["overlap"] = settle(common.union(overlaps(sp, tp, low, pairs_again).select(*common.columns)))
+    ctx["overlap"] = common if pairs_again.isEmpty() else settle(common.union(overlaps(sp, tp, low, pairs_again).select(*common.columns)))
     second = tried(again, shared.join(above, "src", "left_semi").union(common.select("src", "tgt")), pairs_again)
     return settle(first.join(above, "src", "left_anti").union(second))
 

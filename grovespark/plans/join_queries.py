@@ -46,6 +46,32 @@ def j13_align(spark, d):
     return align.align(catalogue(spark, d, by_size=True), catalogue(spark, d)).select("src", "tgt", "value", "reason")
 
 
+#: Parts with homonyms: how many have the name, how many of them the brand, and who stands for those that the lineage and the id put out.
+ROUNDS = """WITH p AS (SELECT p_brand AS b, p_name AS nm, 'p' || p_partkey AS k FROM part),
+c AS (SELECT *, count(*) OVER (PARTITION BY nm) AS c0, count(*) OVER (PARTITION BY nm, b) AS c3, max(k) OVER (PARTITION BY nm, b) AS bhi, min(k) OVER (PARTITION BY nm, b) AS blo,
+    max(k) OVER (PARTITION BY nm) AS hi, min(k) OVER (PARTITION BY nm) AS lo FROM p),
+o AS (SELECT c.*, CASE WHEN h.b <> c.b THEN hi WHEN l.b <> c.b THEN lo ELSE (SELECT max(q.k) FROM p q WHERE q.nm = c.nm AND q.b <> c.b) END AS other, CASE WHEN bhi <> c.k THEN bhi ELSE blo END AS same FROM c JOIN p h ON h.k = c.hi JOIN p l ON l.k = c.lo WHERE c0 > 1)"""
+
+
+def _answers(spark, d):
+    src = catalogue(spark, d, by_size=True)
+    return src, align.align(src, catalogue(spark, d))
+
+
+@query(ROUNDS + """ SELECT k AS src, k AS winner, CASE WHEN c3 = 1 THEN 'by lineage' ELSE 'by source id' END AS heuristic, CASE WHEN c3 = 1 THEN 3 ELSE 2 END AS score, CASE WHEN c3 = 1 THEN other ELSE same END AS loser FROM o""")
+def a4_choices(spark, d):
+    """Which heuristic chose among the homonyms of each part of H3, with one that it put out."""
+    return align.choices(_answers(spark, d)[1])
+
+
+@query(ROUNDS + """, r AS (SELECT o.*, u.* FROM o, (VALUES (0, 'disjoint divisions', 0), (1, 'disparate ranks', 0), (2, 'by lineage', 3), (3, 'overlapping membership', 0), (4, 'same-division-weak', 0), (5, 'by name', 3), (6, 'by source id', 2)) u(nth, heuristic, score) WHERE nth <= 2 OR c3 > 1)
+SELECT nm AS name, k AS src, nth, heuristic, score, CASE WHEN nth <= 2 THEN c0 ELSE c3 END AS before, CASE WHEN nth < 2 THEN c0 WHEN nth < 6 THEN c3 ELSE 1 END AS after, CASE WHEN nth = 2 AND c3 < c0 THEN other WHEN nth = 6 THEN same END AS loser, k AS tgt, CASE WHEN c3 = 1 THEN 'by lineage' ELSE 'by source id' END AS reason FROM r""")
+def a2_evidence(spark, d):
+    """What each heuristic found for each part of H3 with homonyms: candidates before and after, and one that it put out."""
+    src, answers = _answers(spark, d)
+    return align.evidence(answers, src.nodes.select("uid", "name"))
+
+
 @query("SELECT 'g:' || p_brand || ':size ' || CAST(floor(p_size / 10) AS BIGINT) AS src, CASE WHEN count(DISTINCT p_type) = 1 THEN 'g:' || p_brand || ':' || min(p_type) ELSE 'b:' || p_brand END AS lub FROM part GROUP BY p_brand, floor(p_size / 10) UNION ALL SELECT 'life', 'life'")
 def j17_target_mrcas(spark, d):
     src, tgt = catalogue(spark, d, by_size=True), catalogue(spark, d)

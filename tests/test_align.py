@@ -38,7 +38,8 @@ def by_pairs(src, tgt, divisions):
     above = settle(sp.join(low.select(F.col("src").alias("uid")), "uid", "left_semi").select(F.explode(F.slice("path", F.lit(1), F.size("path") - 1)).alias("src")).distinct())
     again = pairs.join(above, "src", "left_semi")
     ctx["overlap"] = settle(align.overlaps(sp, tp, low, again))
-    return first.join(above, "src", "left_anti").union(align.eliminate(align.scored(again, si, ti, ctx)))
+    scores = settle(align.scored(again, si, ti, ctx))
+    return first.join(above, "src", "left_anti").union(align.eliminate(scores)), align.scored(pairs, si, ti, ctx | {"overlap": False}).join(above, "src", "left_anti").union(scores)
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -48,12 +49,19 @@ def test_groups_decide_as_pairs_do(spark, seed):
     both = spark.createDataFrame([(d, ["life", d]) for d in ("Plantae", "Animalia", "Fungi")], "uid string, path array<string>")
     keep = ("src", "tgt", "value", "reason", "n_first", "n_left")
     got = {r["src"]: r for r in align.align(src, tgt, divisions=both).collect()}
-    want = {r["src"]: r for r in by_pairs(src, tgt, both).collect()}
+    decided, all_scores = by_pairs(src, tgt, both)
+    want = {r["src"]: r for r in decided.collect()}
     assert got.keys() == want.keys()
     for k, r in want.items():
         assert [got[k][c] for c in keep] == [r[c] for c in keep]
-        assert [(x["heuristic"], x["score"], x["before"], x["after"], x["loser"] is None) for x in got[k]["rounds"]] == [(x["heuristic"], x["score"], x["before"], x["after"], x["low"] is None) for x in r["rounds"]]
-        assert all(x["loser"] != r["tgt"] for x in got[k]["rounds"] if x["loser"])
+        assert [(x["heuristic"], x["score"], x["before"], x["after"], x["loser"] is None) for x in got[k]["rounds"]] == [(x["heuristic"], x["score"], x["before"], x["after"], x["loser"] is None) for x in r["rounds"]]
+    # Whoever is named as a loser lost that round in the plain form.
+    scores = {(r["src"], r["low"]): r for r in all_scores.collect()}
+    for k, r in got.items():
+        for x in r["rounds"]:
+            if x["loser"]:
+                i = [label for label, _ in align.CRITERIA].index(x["heuristic"])
+                assert scores[k, x["loser"]][f"s{i}"] < x["score"] or x["score"] < 0
     assert len({r["reason"] for r in want.values()}) >= 6, {r["reason"] for r in want.values()}
 
 
