@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grovespark.functions import codecs
-from grovespark.operators import additions
-from grovespark.plans.star import suppliers, table
+from grovespark.operators import additions, homonyms, tree
+from grovespark.plans.star import H2, catalogue, suppliers, table
 from grovespark.sources import studies
-from grovespark.storage import scratch
+from grovespark.storage import scratch, settle
 from grovespark.streaming import additions as stream
 
 QUERIES: dict = {}
@@ -135,3 +135,33 @@ UNION ALL SELECT 'no root', count(DISTINCT o_custkey) FROM orders JOIN customer
 def r13_study_problems(spark, d):
     """What the reader finds wrong in the same documents."""
     return studies.read(study_documents(spark, d)).problems.groupBy("problem").agg(F.count("*").alias("n"))
+
+
+#: Homonymous parts of H2 by the two clades below their common one: a pair's smaller side (then smaller uid) loses.
+PARTED = H2 + """, s AS (SELECT u AS uid, count(*) AS n FROM (SELECT unnest(path) AS u FROM t) GROUP BY u),
+y AS (SELECT a.name, CASE WHEN a.path[2] <> b.path[2] THEN 2 WHEN a.path[3] <> b.path[3] THEN 3 ELSE 4 END AS i, a.path AS pa, b.path AS pb FROM t a JOIN t b ON a.name = b.name AND a.uid < b.uid),
+z AS (SELECT name, pa[i - 1] AS mrca, least({'n': x.n, 'u': pa[i]}, {'n': w.n, 'u': pb[i]}) AS small, greatest({'n': x.n, 'u': pa[i]}, {'n': w.n, 'u': pb[i]}) AS big FROM y JOIN s x ON x.uid = pa[i] JOIN s w ON w.uid = pb[i]),
+r AS (SELECT z.name, mrca, small.u AS loser, small.n AS low, h.n AS high, max(max(big)) OVER (PARTITION BY z.name, mrca) AS larger, count(*) AS pairs FROM z JOIN s h ON h.uid = mrca GROUP BY ALL)"""
+
+
+def _parted(spark, d):
+    tax = catalogue(spark, d)
+    pathed = settle(tree.with_children(tree.with_path(tax.nodes)))
+    counts = settle(tree.subtree_counts(pathed))
+    return homonyms.partings(pathed, tax.synonyms, counts), counts
+
+
+@query(PARTED.replace("h.n AS high, max(max(big)) OVER (PARTITION BY z.name, mrca) AS larger, count(*) AS pairs FROM z JOIN s h ON h.uid = mrca GROUP BY ALL)", "h.n AS high, count(*) AS pairs FROM z JOIN s h ON h.uid = mrca GROUP BY ALL), g AS (SELECT name, mrca, max(big).u AS larger FROM z GROUP BY ALL)")
+       + """, w AS (SELECT CAST(ceil(count(*) / 100.0) AS BIGINT) AS width FROM t), f AS (SELECT (low - 1) // width AS bucket, sum(pairs) AS pairs, min({'name': name, 'larger': larger}) AS first FROM r JOIN g USING (name, mrca), w GROUP BY 1)
+SELECT b AS bucket, b * width AS start, CAST(coalesce(pairs, 0) AS BIGINT) AS primary, CAST(coalesce(pairs, 0) AS BIGINT) AS pairs, CAST(coalesce(pairs, 0) AS BIGINT) AS tips, first.name AS sample, first.larger AS division FROM range(50) q(b) JOIN w ON true LEFT JOIN f ON f.bucket = b""")
+def a8_homonym_density(spark, d):
+    """Homonym pairs of H2 by the size of the smaller side: half of 100 buckets."""
+    return homonyms.density(*_parted(spark, d))
+
+
+@query(PARTED.replace(", max(max(big)) OVER (PARTITION BY z.name, mrca) AS larger", "") + """, k AS (SELECT low, high, sum(pairs) AS p FROM r GROUP BY ALL),
+u AS (SELECT low, high, coalesce(sum(p) OVER (ORDER BY -low, high ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + coalesce(sum(p) OVER (ORDER BY high, -low ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS doubt FROM k)
+SELECT name, low, high, loser, mrca, pairs, CAST(doubt AS BIGINT) AS doubt FROM r JOIN u USING (low, high)""")
+def a9_homonym_uncertainty(spark, d):
+    """Where the homonyms of H2 part, by how hard it is to tell them apart."""
+    return homonyms.uncertainty(_parted(spark, d)[0])
