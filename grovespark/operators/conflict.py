@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grovespark.functions import paths
+from grovespark.operators import tree
 from grovespark.storage import settle
 
 
@@ -29,8 +30,21 @@ def induce(own: DataFrame, other: DataFrame, tips: DataFrame, a: str, b: str) ->
 
 def articulations(inputs: DataFrame, refs: DataFrame, matches: DataFrame) -> DataFrame:
     """(pair, uid, status, witness) of every input node with mapped tips (C-4, C-5, C-6)."""
-    a, b = settle(inputs.select("pair", "uid", "path")), settle(refs.select("pair", "uid", "path"))
-    tips = settle(tip_map(a, matches))
+    tips = settle(tip_map(inputs, matches))
+    return articulate(inputs, induced(refs, tips), tips)
+
+
+def induced(refs: DataFrame, tips: DataFrame) -> DataFrame:
+    """The reference nodes under the common clade of their mapped tips, with paths that begin there (C-3)."""
+    at = tips.select("pair", F.col("ref").alias("uid")).join(refs.select("pair", "uid", "path"), ["pair", "uid"])
+    top = at.groupBy("pair").agg(F.element_at(paths.set_mrca_path("path"), -1).alias("_top"))
+    return refs.join(top, "pair").where(F.array_contains("path", F.col("_top"))).withColumn("path", F.expr("slice(path, array_position(path, _top), size(path))")).drop("_top")
+
+
+def articulate(own: DataFrame, others: DataFrame, tips: DataFrame) -> DataFrame:
+    """(pair, uid, status, witness) of every node of ``own`` above ``tips`` (pair, tip, ref), by the nodes of ``others``."""
+    a, b = settle(own.select("pair", "uid", "path")), settle(others.select("pair", "uid", "path"))
+    tips = settle(tips.select("pair", "tip", "ref"))
     there, back = settle(induce(a, b, tips, "tip", "ref")), settle(induce(b, a, tips, "ref", "tip"))
     n = there.join(a, ["pair", "uid"]).join(back.select("pair", F.col("uid").alias("image"), F.col("image").alias("bounce")), ["pair", "image"])
     n = n.join(a.select("pair", F.col("uid").alias("bounce"), F.col("path").alias("bounce_path")), ["pair", "bounce"])
@@ -57,6 +71,44 @@ def articulations(inputs: DataFrame, refs: DataFrame, matches: DataFrame) -> Dat
     return supported.select("pair", "uid", "status", "witness").union(others)
 
 
+def compare_pairs(pairs: DataFrame, trees: DataFrame) -> DataFrame:
+    """(pair, uid, flipped, info) of ``pairs`` (pair, first, second) of trees, all in one plan (C-8).
+
+    ``trees``: (tree, uid, parent_uid, name, key), and whether a node is the ``ingroup``; tips with one ``key`` are the same. The smaller tree is the
+    input, the first if they are of one size: of several of its tips with one partner the smallest is mapped. What is told is always of the first tree: how its nodes fare
+    against the second, ``info`` being a JSON object with status, witness and the witness's name. Where the first is the input, nodes of its ingroup are told
+    (all, if it has none), else those under the common clade of its mapped tips. A node with several children counts as inner, and only keys of tips map.
+    """
+    keyed = trees.select("tree", "uid", "parent_uid", "name", "key", "ingroup")
+    # Trees are joined by their own ids: a tree's nodes get paths once, however many pairs it is in.
+    one = F.concat_ws("\x1f", "tree", "uid")
+    up = F.when(F.col("parent_uid").isNotNull(), F.concat_ws("\x1f", "tree", "parent_uid"))
+    whole = keyed.select("tree", F.col("uid").alias("node"), "name", "key", "ingroup", one.alias("uid"), up.alias("parent_uid"))
+    nodes = settle(tree.with_children(tree.with_path(whole)).where("path IS NOT NULL"))
+    sizes = nodes.groupBy("tree").agg(F.count("*").alias("size"))
+    p = pairs.join(sizes.select(F.col("tree").alias("first"), F.col("size").alias("n1")), "first").join(sizes.select(F.col("tree").alias("second"), F.col("size").alias("n2")), "second")
+    p = settle(p.select("pair", "first", "second", (F.col("n2") < F.col("n1")).alias("flipped")))
+
+    def side(which: str) -> DataFrame:
+        return p.select("pair", "flipped", F.col(which).alias("tree")).join(nodes, "tree")
+
+    a, b = settle(side("first")), settle(side("second"))
+    small, large = (a.where("NOT flipped").unionByName(b.where("flipped")), b.where("NOT flipped").unionByName(a.where("flipped")))
+    tip = small.where("n_children = 0 AND key IS NOT NULL").select("pair", F.col("uid").alias("tip"), "key")
+    ref = large.where("n_children = 0 AND key IS NOT NULL").groupBy("pair", "key").agg(F.min("uid").alias("ref"))
+    mapped = settle(tip_map(small, tip.join(ref, ["pair", "key"])).join(p.select("pair", "flipped"), "pair"))
+    whole_ref = induced(large, mapped)
+    a, b = a.where("NOT flipped").unionByName(whole_ref.where("flipped")), whole_ref.where("NOT flipped").unionByName(b.where("flipped"))
+    a, b = settle(a), settle(b)
+    tips = settle(mapped.select("pair", F.when(F.col("flipped"), F.col("ref")).otherwise(F.col("tip")).alias("tip"), F.when(F.col("flipped"), F.col("tip")).otherwise(F.col("ref")).alias("ref")))
+    found = articulate(a, b, tips)
+    group = a.where("NOT flipped AND ingroup").groupBy("pair").agg(F.min("uid").alias("start"))
+    found = found.join(a.select("pair", "uid", "node", "flipped", "path"), ["pair", "uid"]).join(group, "pair", "left").where("start IS NULL OR array_contains(path, start)")
+    found = found.join(b.select("pair", F.col("uid").alias("witness"), F.col("node").alias("w"), F.col("name").alias("w_name")), ["pair", "witness"], "left")
+    info = F.to_json(F.struct("status", F.col("w").alias("witness"), F.col("w_name").alias("witness_name")))
+    return found.select("pair", F.col("node").alias("uid"), "flipped", info.alias("info"))
+
+
 def ratios(found: DataFrame, inputs: DataFrame, tips: DataFrame) -> DataFrame:
     """(pair, n_tips, n_mapped, n_conflicts, conflictivity, unmappedness) (C-6, C-9)."""
     t = inputs.where("n_children = 0").groupBy("pair").agg(F.count("*").alias("n_tips"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grovespark.functions import codecs
-from grovespark.operators import additions, homonyms, tree
+from grovespark.operators import additions, conflict, homonyms, tree
 from grovespark.plans.star import H2, catalogue, suppliers, table
 from grovespark.sources import studies
 from grovespark.storage import scratch, settle
@@ -165,3 +165,37 @@ SELECT name, low, high, loser, mrca, pairs, CAST(doubt AS BIGINT) AS doubt FROM
 def a9_homonym_uncertainty(spark, d):
     """Where the homonyms of H2 part, by how hard it is to tell them apart."""
     return homonyms.uncertainty(_parted(spark, d)[0])
+
+
+def brand_trees(spark: SparkSession, d: str) -> DataFrame:
+    """A tree for each brand of H2 and one of H3, as ``conflict.compare_pairs`` wants them."""
+    def cut(kind: str, by_size: bool) -> DataFrame:
+        n = catalogue(spark, d, by_size=by_size).nodes.where("uid <> 'life'")
+        up = n.where("rank = 'genus'").select(F.col("uid").alias("parent_uid"), F.col("parent_uid").alias("top"))
+        top = F.when(F.col("rank") == "family", F.col("uid")).when(F.col("rank") == "genus", F.col("parent_uid")).otherwise(F.col("top"))
+        parent = F.when(F.col("rank") != "family", F.col("parent_uid"))
+        return n.join(up, "parent_uid", "left").select(F.concat(F.lit(f"{kind}/"), top).alias("tree"), "uid", parent.alias("parent_uid"), "name", F.when(F.col("rank") == "species", F.col("uid")).alias("key"), F.lit(False).alias("ingroup"))
+
+    return cut("h2", False).union(cut("h3", True))
+
+
+#: One side of a brand's pair: parts by their own group and the other tree's, with the sizes of both.
+_SIDE = """SELECT '{kind}' AS kind, 'b:' || p_brand AS root, p_brand AS brand, 'p' || p_partkey AS k, p_name AS nm, 'g:' || p_brand || ':' || {own} AS g, 'g:' || p_brand || ':' || {other} AS o, p_brand || ' ' || {other} AS o_name FROM part"""
+_TYPE, _SIZE = "p_type", "'size ' || CAST(floor(p_size / 10) AS BIGINT)"
+
+
+@query(f"""WITH e AS ({_SIDE.format(kind='h2', own=_TYPE, other=_SIZE)} UNION ALL {_SIDE.format(kind='h3', own=_SIZE, other=_TYPE)}),
+x AS (SELECT *, count(*) OVER (PARTITION BY kind, g) AS ng, count(*) OVER (PARTITION BY kind, o) AS no, count(*) OVER (PARTITION BY kind, g, o) AS n2 FROM e),
+z AS (SELECT kind, root, count(DISTINCT g) AS mine, count(DISTINCT o) AS theirs FROM e GROUP BY ALL),
+q AS (SELECT kind, root, k AS uid, CASE WHEN ng = 1 THEN 'partial_path_of' ELSE 'supported_by' END AS status, CASE WHEN no = 1 THEN o ELSE k END AS witness, CASE WHEN no = 1 THEN o_name ELSE nm END AS witness_name FROM x
+  UNION ALL SELECT kind, root, root, 'supported_by', root, brand FROM x GROUP BY ALL
+  UNION ALL SELECT kind, root, g, CASE WHEN count(*) = 1 THEN 'partial_path_of' WHEN count(DISTINCT o) > 1 AND bool_or(n2 < no) THEN 'conflicts_with' WHEN count(DISTINCT o) = 1 AND min(no) = count(*) THEN 'supported_by' ELSE 'resolves' END,
+    CASE WHEN count(*) = 1 THEN CASE WHEN min(no) = 1 THEN min(o) ELSE min(k) END WHEN count(DISTINCT o) = 1 THEN min(o) WHEN bool_or(n2 < no) THEN min(o) FILTER (n2 < no) ELSE root END,
+    CASE WHEN count(*) = 1 THEN CASE WHEN min(no) = 1 THEN min(o_name) ELSE min(nm) END WHEN count(DISTINCT o) = 1 THEN min(o_name) WHEN bool_or(n2 < no) THEN min(o_name) FILTER (n2 < no) ELSE any_value(brand) END FROM x GROUP BY kind, root, g)
+SELECT kind || '/' || root AS pair, uid, theirs < mine AS flipped, '{{"status":"' || status || '","witness":"' || witness || '","witness_name":"' || witness_name || '"}}' AS info FROM q JOIN z USING (kind, root)""")
+def c8_compare_pairs(spark, d):
+    """Each brand's tree of H2 against that of H3 and the other way round, in one plan."""
+    trees = brand_trees(spark, d)
+    tops = trees.where("parent_uid IS NULL").select("uid").distinct()
+    two = [tops.select(F.concat(F.lit(f"{x}/"), "uid").alias("pair"), F.concat(F.lit(f"{x}/"), "uid").alias("first"), F.concat(F.lit(f"{y}/"), "uid").alias("second")) for x, y in (("h2", "h3"), ("h3", "h2"))]
+    return conflict.compare_pairs(two[0].union(two[1]), trees)
