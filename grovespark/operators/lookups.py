@@ -90,6 +90,36 @@ def graft_counts(nodes: DataFrame) -> DataFrame:
     return j.groupBy("prefix").agg(F.count("*").alias("n"))
 
 
+def space_sets(pathed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(under, above), each (uid, word, bits): the sources of a node's subtree, and those of its proper ancestors (U-4).
+
+    A source is a bit: its number in the order of names, 63 to a word, so any number of sources fit. A set has a row for each word with a
+    bit, and sets unite by ``bit_or``. A node's source is the prefix of its first id; without one it adds none. The sources' names, a row each, are
+    numbered on the driver.
+    """
+    spark = pathed.sparkSession
+    own = pathed.select("uid", "path", F.get("source_ids", F.lit(0))["prefix"].alias("prefix"))
+    every = sorted(r["prefix"] for r in own.where("prefix IS NOT NULL").select("prefix").distinct().collect())
+    bits = spark.createDataFrame([(p, i // 63, 1 << i % 63) for i, p in enumerate(every)], "prefix string, word int, bits bigint")
+    set_ = own.join(F.broadcast(bits), "prefix")
+    under = set_.select(F.explode("path").alias("uid"), "word", "bits").groupBy("uid", "word").agg(F.bit_or("bits").alias("bits"))
+    up = own.select("uid", F.explode(F.slice("path", F.lit(1), F.size("path") - 1)).alias("anc"))
+    above = up.join(set_.select(F.col("uid").alias("anc"), "word", "bits"), "anc").groupBy("uid", "word").agg(F.bit_or("bits").alias("bits"))
+    return under, above
+
+
+def grafts(pathed: DataFrame) -> DataFrame:
+    """(uid, prefix, kind): nodes of another source than their parent's, each a ``graft``, or a ``resolution`` if a source of its
+    subtree is also one of the parent's own ancestors (U-4)."""
+    under, above = space_sets(pathed)
+    origin = F.get("source_ids", F.lit(0))["prefix"]
+    up = pathed.select(F.col("uid").alias("parent_uid"), origin.alias("up"))
+    moved = pathed.select("uid", "parent_uid", origin.alias("prefix")).join(up, "parent_uid").where("NOT prefix <=> up")
+    both = moved.join(under, "uid").join(above.select(F.col("uid").alias("parent_uid"), "word", F.col("bits").alias("seen")), ["parent_uid", "word"])
+    meets = both.where(F.col("bits").bitwiseAND(F.col("seen")) != 0).select("uid").distinct().withColumn("meets", F.lit(True))
+    return moved.join(meets, "uid", "left").select("uid", "prefix", F.when(F.col("meets"), "resolution").otherwise("graft").alias("kind"))
+
+
 def unique_names(pathed: DataFrame) -> DataFrame:
     """(uid, unique_name): empty where no other node has the name; else the name with its rank and the ancestor that tells it apart (R-8).
 

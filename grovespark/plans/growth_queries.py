@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grovespark.functions import codecs
-from grovespark.operators import additions, conflict, homonyms, tree
-from grovespark.plans.star import H2, catalogue, suppliers, table
+from grovespark.operators import additions, conflict, homonyms, lookups, tree
+from grovespark.plans.star import H2, catalogue, geography, suppliers, table
 from grovespark.sources import studies
 from grovespark.storage import scratch, settle
 from grovespark.streaming import additions as stream
@@ -199,3 +199,16 @@ def c8_compare_pairs(spark, d):
     tops = trees.where("parent_uid IS NULL").select("uid").distinct()
     two = [tops.select(F.concat(F.lit(f"{x}/"), "uid").alias("pair"), F.concat(F.lit(f"{x}/"), "uid").alias("first"), F.concat(F.lit(f"{y}/"), "uid").alias("second")) for x, y in (("h2", "h3"), ("h3", "h2"))]
     return conflict.compare_pairs(two[0].union(two[1]), trees)
+
+
+@query("""WITH s AS (SELECT c_custkey AS k, c_mktsegment || ' ' || c_nationkey AS prefix, bool_or(o_orderstatus <> 'F') AS meets FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY ALL)
+SELECT 'c' || k AS uid, prefix, CASE WHEN meets THEN 'resolution' ELSE 'graft' END AS kind FROM s
+UNION ALL SELECT 'o' || o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE 'tpch' END, CASE WHEN o_orderstatus = 'F' THEN 'graft' ELSE 'resolution' END FROM orders""")
+def u4_grafts(spark, d):
+    """A geography whose customers come from a source for each segment and nation (125), and finished orders from one for each priority."""
+    nodes = geography(spark, d).nodes
+    c = table(spark, d, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("uid"), F.concat_ws(" ", "c_mktsegment", "c_nationkey").alias("own"))
+    o = table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.concat(F.lit("o"), "o_orderkey").alias("uid"), F.col("o_orderpriority").alias("own"))
+    first = F.array(F.struct(F.col("own").alias("prefix"), F.col("uid").alias("id")))
+    mixed = nodes.join(c.union(o), "uid", "left").withColumn("source_ids", F.when(F.col("own").isNotNull(), first).otherwise(F.col("source_ids")))
+    return lookups.grafts(settle(tree.with_path(mixed)))
