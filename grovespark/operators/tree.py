@@ -17,15 +17,16 @@ def with_path(nodes: DataFrame) -> DataFrame:
     Pointer doubling: each round joins every node with the node its path has reached, so a tree of depth d takes
     log2(d) joins, however deep it is. Nodes on a cycle or under a missing parent get a null path.
     """
-    t = settle(nodes.select("uid", F.col("parent_uid").alias("up"), F.array("uid").alias("path")))
-    while not t.where("up IS NOT NULL").isEmpty():
-        above = t.select(F.col("uid").alias("u"), F.col("up").alias("upper"), F.col("path").alias("head"))
-        going = t.where("up IS NOT NULL").join(above, F.col("up") == F.col("u")).select("uid", F.col("upper").alias("up"), F.concat("head", "path").alias("path"))
+    first = settle(nodes.select("uid", F.col("parent_uid").alias("up"), F.array("uid").alias("path")))
+    done, open_ = first.where("up IS NULL"), first.where("up IS NOT NULL")
+    while not open_.isEmpty():
+        above = done.union(open_).select(F.col("uid").alias("u"), F.col("up").alias("upper"), F.col("path").alias("head"))
+        going = open_.join(above, F.col("up") == F.col("u")).select("uid", F.col("upper").alias("up"), F.concat("head", "path").alias("path"))
         # A path that leads back into itself has no root; without it, a path doubles until it reaches one.
-        going = going.where("up IS NULL OR NOT array_contains(path, up)")
-        t = settle(going.union(t.where("up IS NULL").select("uid", "up", "path")))
-    done = t.where("up IS NULL").select("uid", "path", F.size("path").alias("depth"))
-    return nodes.join(done, "uid", "left")
+        going = settle(going.where("up IS NULL OR NOT array_contains(path, up)"))
+        # A finished path is written once.
+        done, open_ = done.union(going.where("up IS NULL")), going.where("up IS NOT NULL")
+    return nodes.join(done.select("uid", "path", F.size("path").alias("depth")), "uid", "left")
 
 
 def with_children(nodes: DataFrame) -> DataFrame:
