@@ -14,8 +14,8 @@ from grovespark.operators import align, tree
 from grovespark.storage import settle
 
 DOCUMENT = "id string, user_agent string, taxa array<struct<tag:string,ott_id:string,name:string,parent:string,parent_tag:string,rank:string,sources:array<struct<source:string>>>>"
-#: The user agent whose rows were made by an earlier release and are never made anew.
-ORIGINAL = "smasher"
+#: The user agent that releases write their own requests with, unless told otherwise: such rows are never made anew.
+ORIGINAL = "release"
 ROOT = "root"
 #: What rows need to be applied; ``at`` orders them.
 ROW = "at struct<size:int,doc:string,pos:int>, original boolean, tag string, ott_id string, name string, parent string, parent_tag string, rank string, source string"
@@ -41,10 +41,13 @@ class Known:
     names: DataFrame
 
 
-def log_rows(docs: DataFrame) -> DataFrame:
-    """ROW of all documents, each id once: by the length of the document's id, its id, and the place in it."""
+def log_rows(docs: DataFrame, original: str = ORIGINAL) -> DataFrame:
+    """ROW of all documents, each id once: by the length of the document's id, its id, and the place in it.
+
+    Rows of the user agent ``original`` only find nodes.
+    """
     once = docs.where("id IS NOT NULL").groupBy("id").agg(F.min(F.struct("user_agent", "taxa")).alias("d"))
-    t = once.select("id", F.coalesce(F.col("d.user_agent") == ORIGINAL, F.lit(False)).alias("original"), F.posexplode("d.taxa").alias("pos", "t"))
+    t = once.select("id", F.coalesce(F.col("d.user_agent") == original, F.lit(False)).alias("original"), F.posexplode("d.taxa").alias("pos", "t"))
     at = F.struct(F.length("id").alias("size"), F.col("id").alias("doc"), "pos").alias("at")
     return t.select(at, "original", *(f"t.{c}" for c in ("tag", "ott_id", "name", "parent", "parent_tag", "rank")), F.coalesce(F.get("t.sources", F.lit(0))["source"], F.lit("")).alias("source"))
 
@@ -143,9 +146,9 @@ def apply(rows: DataFrame, base: Known, wait: bool = False) -> Applied:
     return Applied(outcomes, every(created) if created else spark.createDataFrame([], nodes), every(ids[1:]) if len(ids) > 1 else spark.createDataFrame([], "id string, uid string, division string"), every(held) if held else spark.createDataFrame([], ROW))
 
 
-def add(tax: Taxonomy, docs: DataFrame, divisions: DataFrame) -> tuple[Taxonomy, DataFrame]:
+def add(tax: Taxonomy, docs: DataFrame, divisions: DataFrame, original: str = ORIGINAL) -> tuple[Taxonomy, DataFrame]:
     """(``tax`` with the documents' nodes and with matched ids as aliases, the outcomes)."""
-    a = apply(log_rows(docs), known(tax, divisions))
+    a = apply(log_rows(docs, original), known(tax, divisions))
     aliases = a.ids.where("id <> uid").select("id", F.col("uid").alias("replacement"))
     nodes = tax.nodes.union(a.created.select(*tax.nodes.columns))
     return Taxonomy(nodes, tax.synonyms, tax.aliases.union(aliases), tax.idspace), a.outcomes

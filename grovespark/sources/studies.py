@@ -1,4 +1,7 @@
-"""Study trees: nested JSON documents of OTUs and trees, read as variants and exploded map by map (S-10, R-13)."""
+"""Study trees: nested JSON documents of OTUs and trees, read as variants and exploded map by map (S-10, R-13).
+
+The keys of the documents, ``^ot:`` ones included, are fixed values of the format.
+"""
 
 from __future__ import annotations
 
@@ -43,10 +46,10 @@ def trees(docs: DataFrame) -> DataFrame:
         GROUP BY study, t.key""", docs=docs)
 
 
-def read(docs: DataFrame) -> Studies:
+def read(docs: DataFrame, idspace: str = "ott") -> Studies:
     """All trees of ``docs`` (study, json), each study once.
 
-    Tips take their OTU's label as name and its mapped id as source id ``ott:N``, unless they are marked as no exemplar of their taxon.
+    Tips take their OTU's label as name and its mapped id as source id of ``idspace``, unless they are marked as no exemplar of their taxon.
     Nodes that the root does not reach are no part of a tree, nor is anything of a tree without root. Where a node has several
     edges to it, the one from the smallest node counts.
     """
@@ -71,7 +74,7 @@ def read(docs: DataFrame) -> Studies:
     pathed = tree.with_children(tree.with_path(linked)).where(F.get("path", F.lit(0)) == F.col("root_uid"))
     labels = otus(v).withColumn("known", F.lit(True))
     tips = settle(pathed.join(labels, ["study", "otu"], "left").withColumn("tip", F.col("n_children") == 0))
-    mapped = F.array(F.struct(F.lit("ott").alias("prefix"), F.col("mapped").alias("id")))
+    mapped = F.array(F.struct(F.lit(idspace).alias("prefix"), F.col("mapped").alias("id")))
     nodes = tips.select(*keys, "node", "uid", "parent_uid", F.when(F.col("tip"), F.col("label")).alias("name"), F.lit("no rank").alias("rank"), F.when(F.col("tip") & F.col("exemplar") & F.col("mapped").isNotNull(), mapped).otherwise(F.array()).cast(SOURCE_IDS).alias("source_ids"))
 
     wrong = F.when(F.col("tip") & F.col("otu").isNull(), "tip without OTU").when(F.col("tip") & F.col("known").isNull(), "OTU not found").when(F.col("tip") & F.col("label").isNull(), "tip without label")

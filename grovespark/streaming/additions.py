@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from grovespark.model import SOURCE_IDS
-from grovespark.operators.additions import DOCUMENT, ROW, Known, apply, log_rows
+from grovespark.operators.additions import DOCUMENT, ORIGINAL, ROW, Known, apply, log_rows
 
 TABLES = {
     "created": f"uid string, parent_uid string, name string, rank string, source_ids {SOURCE_IDS}, proper_flags int, inferred_flags int, division string",
@@ -34,7 +34,7 @@ def state(spark: SparkSession, folder: str, table: str, before: int | None = Non
     return spark.read.schema(TABLES[table]).parquet(*paths) if paths else empty
 
 
-def add_documents(docs: DataFrame, base: Known, folder: str, checkpoint: str) -> StreamingQuery:
+def add_documents(docs: DataFrame, base: Known, folder: str, checkpoint: str, original: str = ORIGINAL) -> StreamingQuery:
     """Runs over all documents (DOCUMENT) of the stream that are there now, and stops."""
 
     def batch(own: DataFrame, number: int) -> None:
@@ -44,7 +44,7 @@ def add_documents(docs: DataFrame, base: Known, folder: str, checkpoint: str) ->
         first = F.concat(F.get("source_ids", F.lit(0))["prefix"], F.lit(":"), F.get("source_ids", F.lit(0))["id"])
         have = Known(base.ids.union(ids), base.names.union(made.select("name", "uid", "division", first.alias("first"))))
         seen = state(spark, folder, "seen", number)
-        fresh = log_rows(own.join(seen.withColumnRenamed("doc", "id"), "id", "left_anti"))
+        fresh = log_rows(own.join(seen.withColumnRenamed("doc", "id"), "id", "left_anti"), original)
         a = apply(fresh.unionByName(state(spark, folder, "waiting", number)), have, wait=True)
         tables = {"created": a.created, "ids": a.ids, "outcomes": a.outcomes, "waiting": a.waiting, "seen": own.where("id IS NOT NULL").select(F.col("id").alias("doc")).distinct()}
         for name, table in tables.items():

@@ -53,7 +53,7 @@ def one_by_one(docs):
                 own = sorted({u for n, u in names if n == t["name"] and division(u) == division(up)}, key=lambda u: (len(u), u))
                 source = (t.get("sources") or [{"source": ""}])[0]["source"]
                 target = next((u for u in own if first[u] == source), own[0] if own else None)
-            if target is None and d.get("user_agent") == "smasher":
+            if target is None and d.get("user_agent") == additions.ORIGINAL:
                 outcome = "deprecated"
             elif target is None:
                 target, outcome = t["ott_id"], "added"
@@ -78,7 +78,7 @@ def made_up(rng, n):
             if rng.random() < 0.4:
                 t["sources"] = [{"source": f"src:{rng.randint(4, 7)}"}]
             taxa.append(t)
-        docs.append({"id": f"additions-{i}", "user_agent": "smasher" if rng.random() < 0.2 else "other", "taxa": taxa})
+        docs.append({"id": f"additions-{i}", "user_agent": additions.ORIGINAL if rng.random() < 0.2 else "other", "taxa": taxa})
     return docs
 
 
