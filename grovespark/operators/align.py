@@ -11,7 +11,9 @@ from pyspark.sql.window import Window
 
 from grovespark.functions import codecs, paths
 from grovespark.model import FAMILY, GENUS, Taxonomy
+from grovespark.operators import divisions as divs
 from grovespark.operators import tree
+from grovespark.operators.divisions import Skeleton
 from grovespark.storage import settle
 
 ANSWERS = "src string, tgt string, value int, reason string"
@@ -45,14 +47,18 @@ def candidates(src: Taxonomy, tgt: Taxonomy) -> DataFrame:
 
 
 def described(pathed: DataFrame, other: Taxonomy, divisions: DataFrame | None, side: str) -> DataFrame:
-    """What the heuristics need of each node, with names that end in ``side``."""
+    """What the heuristics need of each node, with names that end in ``side``.
+
+    ``divisions``: (uid, path), or (uid, division, path) where the nodes that bear divisions have uids of their own.
+    """
     named = pathed.select(F.col("uid").alias("anc"), F.col("name").alias("anc_name"))
     quasi = tree.quasi_parent(pathed, names(other))
     # The names on the quasi-parent's own line.
     line = quasi.join(pathed.select(F.col("uid").alias("quasi"), F.col("path").alias("qp")), "quasi").select("uid", "quasi_name", F.explode("qp").alias("anc")).join(named, "anc").groupBy("uid", "quasi_name").agg(F.collect_set("anc_name").alias("line"))
     out = pathed.join(line, "uid", "left")
     if divisions is not None:
-        out = tree.with_division(out, divisions).join(divisions.select(F.col("uid").alias("division"), F.col("path").alias("division_path")), "division", "left")
+        own = divisions.select(F.col("uid").alias("bearer"), F.col("division" if "division" in divisions.columns else "uid").alias("division"), F.col("path").alias("division_path"))
+        out = tree.with_division(out, divisions).withColumnRenamed("division", "bearer").join(own, "bearer", "left").drop("bearer")
     else:
         out = out.withColumns({"division": F.lit(None).cast("string"), "division_path": F.lit(None).cast("array<string>")})
     keep = {"uid": "", "name": "", "rank": "", "n_children": "", "source_ids": "", "quasi_name": "", "line": "", "division": "", "division_path": ""}
@@ -300,14 +306,26 @@ def overlap_pairs(src_pathed: DataFrame, tgt_pathed: DataFrame, aligned: DataFra
     return both.select("s", "src", "tgt").groupBy("src", "tgt").agg(F.count("*").alias("n_in")).join(total, "src")
 
 
-def align(src: Taxonomy, tgt: Taxonomy, divisions: DataFrame | None = None, curated: DataFrame | None = None, criteria: Sequence[Heuristic] = CRITERIA) -> DataFrame:
+def align(src: Taxonomy, tgt: Taxonomy, divisions: DataFrame | None = None, curated: DataFrame | None = None, criteria: Sequence[Heuristic] = CRITERIA, skeleton: Skeleton | None = None) -> DataFrame:
     """(src, tgt, value, reason, n_first, n_left, rounds) for every source node with a candidate.
 
     First all nodes are tried without the overlap of members; the aligned ones without aligned descendants count as
     members. Then the nodes above them are tried again with the overlap. ``curated`` (src, tgt) comes before both.
+    With a ``skeleton`` the source's divisions are found by name and aligned to the union's (J-15), before all but what is curated, and
+    the nodes below them are told apart by them (J-4, J-8); ``divisions`` are those of both sides, where they share uids.
     Sources with one name meet groups of candidates; those with synonyms, or with a candidate by id alone, meet each.
     """
     sp, tp = settle(tree.with_children(tree.with_path(src.nodes))), settle(tree.with_children(tree.with_path(tgt.nodes)))
+    divisions_s = divisions_t = divisions
+    if curated is not None:
+        curated = curated.select("src", "tgt", F.lit("curated").alias("reason"))
+    if skeleton is not None:
+        known = curated.select("src", "tgt") if curated is not None else skeleton.images.select("src", "tgt").where("false")
+        found = divs.marked(sp, src.synonyms, skeleton, tgt.nodes, known)
+        divisions_s = settle(divs.of_side(skeleton, found.select(F.col("src").alias("uid"), "division")))
+        divisions_t = settle(divs.of_side(skeleton, skeleton.images.select(F.col("tgt").alias("uid"), F.col("src").alias("division"))))
+        by_division = found.join(known, "src", "left_anti").select("src", "tgt", F.lit(divs.BY_DIVISION).alias("reason"))
+        curated = settle(by_division if curated is None else curated.union(by_division))
     mine, other = names(src, common=False).select(F.col("uid").alias("src"), "name").distinct(), settle(names(tgt).select(F.col("uid").alias("tgt"), "name").distinct())
     if curated is not None:
         mine = mine.join(curated.select("src"), "src", "left_anti")
@@ -324,7 +342,7 @@ def align(src: Taxonomy, tgt: Taxonomy, divisions: DataFrame | None = None, cura
         each = each.join(curated.select("src"), "src", "left_anti")
     own = settle(mine.join(each, "src", "left_anti").union(gender.join(each, "src", "left_anti")).join(other, "name", "left_semi"))
     pairs = settle(candidates(src.with_nodes(src.nodes.join(each, F.col("uid") == F.col("src"), "left_semi")), tgt).join(each, "src", "left_semi").select("src", "tgt"))
-    si, ti = settle(described(sp, tgt, divisions, "s")), settle(described(tp, src, divisions, "t"))
+    si, ti = settle(described(sp, tgt, divisions_s, "s")), settle(described(tp, src, divisions_t, "t"))
     ctx = {"src_idspace": src.idspace, "tgt_idspace": tgt.idspace, "overlap": False}
 
     def qids(info: DataFrame, side: str, idspace: str, uid: str) -> DataFrame:
@@ -345,7 +363,7 @@ def align(src: Taxonomy, tgt: Taxonomy, divisions: DataFrame | None = None, cura
     first = tried(own, shared, pairs)
     if curated is not None:
         one = F.lit(1).cast("long")
-        fixed = curated.select("src", "tgt", F.lit(3).alias("value"), F.lit("curated").alias("reason"), one.alias("n_first"), one.alias("n_left"), F.array().cast(f"array<{ROUND}>").alias("rounds"))
+        fixed = curated.select("src", "tgt", F.lit(3).alias("value"), "reason", one.alias("n_first"), one.alias("n_left"), F.array().cast(f"array<{ROUND}>").alias("rounds"))
         first = settle(first.union(fixed))
     low = settle(quasi_tips(sp, first))
     above = sp.join(low.select(F.col("src").alias("uid")), "uid", "left_semi").select(F.explode(F.slice("path", F.lit(1), F.size("path") - 1)).alias("src")).distinct()

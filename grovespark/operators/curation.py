@@ -74,7 +74,7 @@ def divisions_by_name(pathed: DataFrame, synonyms: DataFrame, skeleton: DataFram
     """
     own = skeleton.groupBy("name").agg(F.count("*").alias("k"), F.min("uid").alias("division")).where("k = 1").select("name", "division")
     names = pathed.select("name", "uid").union(synonyms.select("name", "uid")).join(own, "name").distinct()
-    depth = names.join(pathed.where("rank <> 'genus' AND depth IS NOT NULL").select("uid", "depth"), "uid")
+    depth = names.join(pathed.where("NOT rank <=> 'genus' AND depth IS NOT NULL").select("uid", "depth"), "uid")
     least = depth.groupBy("name", "division").agg(F.min("depth").alias("depth"))
     top = depth.join(least, ["name", "division", "depth"]).groupBy("division").agg(F.count("*").alias("k"), F.min("uid").alias("src")).where("k = 1").select("division", "src")
     once = top.groupBy("src").agg(F.min("division").alias("division"))

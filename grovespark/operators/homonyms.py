@@ -88,3 +88,56 @@ def uncertainty(parted: DataFrame) -> DataFrame:
     d = weight_before(settle(d), [-F.col("low"), F.col("high")], "pairs", "u1")
     d = weight_before(d, [F.col("high"), -F.col("low")], "pairs", "u2")
     return d.select("name", "low", "high", "loser", "mrca", "pairs", (F.col("u1") + F.col("u2")).alias("doubt")).orderBy("doubt", "name", "loser")
+
+
+def types(pathed: DataFrame, synonyms: DataFrame, counts: DataFrame, divisions: DataFrame | None = None, suspect: int = 10_000, true: int = 100_000) -> DataFrame:
+    """(name, mrca, type, n): how many pairs of homonyms that part at a clade are of each type (A-10).
+
+    A pair is two visible nodes that bear a name, as their own or as a synonym, each node once. The first that holds: ``siblings``; ``synonyms`` on both sides;
+    ``divisions`` are disjoint (uid of nodes of this tree); ``nested`` one in the other (mrca is the outer one); ``lineage``, one is itself a child of the clade; ``internal``,
+    one has more than two nodes; ``tip-synonym``; and, by the size of both children of the clade together, ``tip-duplicate`` below ``suspect``,
+    ``tip-suspect`` below ``true``, ``tip-true``. Names that begin with ``uncultured`` are left out.
+
+    Pairs are not made. Nodes are counted by clade, child and kind; only for tips the child's size, at most ``true``, is part of
+    the kind. Children of k different sizes hold k * k / 2 nodes at least, so pairs of kinds grow with the nodes.
+    """
+    seen = pathed.where(~tree.hidden()).select("uid", "path", F.col("name").alias("own"))
+    if divisions is not None:
+        seen = tree.with_division(seen, divisions)
+    else:
+        seen = seen.withColumn("division", F.lit(None).cast("string"))
+    size = counts.select("uid", "n_nodes")
+    seen = seen.join(size, "uid").select("uid", "path", "own", (F.col("n_nodes") > 2).alias("big"), F.array_position("path", F.col("division")).alias("div_at"))
+    primary = seen.where("own IS NOT NULL").select("uid", F.col("own").alias("name"))
+    named = primary.union(synonyms.where("name IS NOT NULL").select("uid", "name")).distinct().where("NOT name LIKE 'uncultured%'")
+    every = named.join(seen, "uid").withColumn("main", F.col("own").eqNullSafe(F.col("name")))
+    many = every.groupBy("name").agg(F.count("*").alias("k")).where("k > 1").select("name")
+    every = settle(every.join(many, "name", "left_semi").select("name", "uid", "path", "main", "big", "div_at"))
+    steps = every.select("name", "uid", "main", "big", "div_at", F.posexplode("path").alias("at", "mrca"), F.get("path", F.col("at") + 1).alias("child"))
+    below = F.coalesce(F.col("div_at") > F.col("at") + 1, F.lit(False))
+    steps = steps.where("child IS NOT NULL").withColumns({"self": F.col("child") == F.col("uid"), "apart": below})
+    # Who lies under another bearer of the name: pairs without a parting.
+    outer = every.select("name", F.col("uid").alias("mrca"), F.col("main").alias("outer_main"))
+    nested = steps.join(outer, ["name", "mrca"]).groupBy("name", "mrca", F.when(F.col("main") | F.col("outer_main"), "nested").otherwise("synonyms").alias("type")).agg(F.count("*").alias("n"))
+    tip = F.col("main") & ~F.col("self") & ~F.col("big")
+    by_child = steps.join(size.select(F.col("uid").alias("child"), F.least("n_nodes", F.lit(true)).alias("s")), "child").withColumn("kind", F.struct("self", "big", "main", "apart", F.when(tip, F.col("s")).alias("s")))
+    by_child = by_child.groupBy("name", "mrca", "child", "kind").agg(F.count("*").alias("k"))
+    several = by_child.groupBy("name", "mrca").agg((F.min("child") != F.max("child")).alias("part")).where("part").select("name", "mrca")
+    by_child = settle(by_child.join(several, ["name", "mrca"], "left_semi"))
+
+    def met(rows: DataFrame, sign: int, *keys: str) -> DataFrame:
+        """Twice the pairs of kinds, those of a node with itself included."""
+        other = rows.select(*keys, F.col("kind").alias("other"), F.col("k").alias("l"))
+        return rows.join(other, list(keys)).select("name", "mrca", "kind", "other", (F.col("k") * F.col("l") * sign).alias("twice"))
+
+    kinds = by_child.groupBy("name", "mrca", "kind").agg(F.sum("k").alias("k"))
+    twice = met(kinds, 1, "name", "mrca").union(met(by_child, -1, "name", "mrca", "child"))
+    a, b = F.col("kind"), F.col("other")
+    total = a["s"] + b["s"]
+    label = (
+        F.when(a["self"] & b["self"], "siblings").when(~a["main"] & ~b["main"], "synonyms").when(a["apart"] & b["apart"], "divisions").when(a["self"] | b["self"], "lineage")
+        .when(a["big"] | b["big"], "internal").when(~a["main"] | ~b["main"], "tip-synonym").when(total < suspect, "tip-duplicate").when(total < true, "tip-suspect").otherwise("tip-true")
+    )
+    parted = twice.groupBy("name", "mrca", label.alias("type")).agg(F.sum("twice").alias("twice")).where("twice > 0").select("name", "mrca", "type", F.expr("twice div 2").alias("n"))
+    # Roots are siblings of each other, and other trees have no common clade.
+    return parted.union(nested)
