@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grovespark.model import BIT
-from grovespark.operators import align, divisions, homonyms, merge, tree
-from grovespark.plans.star import H2, H2_NODES, catalogue, table
+from grovespark.operators import align, divisions, establish, homonyms, merge, tree
+from grovespark.plans.star import H2, H2_NODES, catalogue, suppliers, table
 from grovespark.storage import settle
 
 QUERIES: dict = {}
@@ -92,3 +92,32 @@ def a10_homonym_types(spark, d):
     lower = part.where("p_partkey % 7 = 0").select(F.col("p_partkey").alias("k")).join(before, "k").select(F.concat(F.lit("p"), F.col("k").cast("string")).alias("uid"), "name")
     groups = part.groupBy(F.concat(F.lit("g:"), "p_brand", F.lit(":"), "p_type").alias("uid")).agg(F.max("p_name").alias("name"))
     return homonyms.types(p, lower.union(groups), settle(tree.subtree_counts(p)), p.where("uid LIKE 'b:%' AND uid < 'b:Brand#3'"), suspect=10, true=290)
+
+
+def establish_requests(spark: SparkSession, d: str) -> DataFrame:
+    """REQUEST rows: customers in chains of up to ten, each below the one before; then each seventh again, by the root's name; each
+    thirteenth under a parent that nobody knows, beside its nation; and suppliers by id, each fifth by the id of another."""
+    c, n, s = table(spark, d, "customer"), table(spark, d, "nation"), table(spark, d, "supplier")
+    none, k = F.lit(None).cast("string"), F.col("c_custkey").cast("long")
+    named = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_name", "n_name")
+    before = c.select((F.col("c_custkey") + 1).alias("c_custkey"), F.col("c_name").alias("before"))
+    first = named.join(before, "c_custkey", "left").select(k.alias("pos"), F.col("c_name").alias("name"), F.lit("genus").alias("rank"), F.when(k % 10 == 0, F.col("n_name")).otherwise(F.coalesce("before", "n_name")).alias("parent"), none.alias("ancestor"), none.alias("division"), none.alias("id"), F.struct(F.lit("tpch").alias("prefix"), k.cast("string").alias("id")).alias("source"))
+    nothing = F.lit(None).cast("struct<prefix:string,id:string>")
+    again = c.where(k % 7 == 0).select((k + 1_000_000_000).alias("pos"), "c_name", none, F.lit("nowhere"), F.lit("life"), none, none, nothing)
+    beside = named.where(k % 13 == 0).select((k + 2_000_000_000).alias("pos"), F.concat(F.lit("beside "), "c_name"), none, F.lit("nowhere"), none, F.col("n_name"), none, nothing)
+    key = F.col("s_suppkey").cast("long")
+    known = s.select((key + 3_000_000_000).alias("pos"), "s_name", none, none, F.lit("life"), none, F.when(key % 5 == 0, F.concat(F.lit("s"), (key + 1).cast("string"))).otherwise(F.concat(F.lit("s"), key.cast("string"))), nothing)
+    return first.union(again).union(beside).union(known)
+
+
+@query("""WITH c AS (SELECT c_custkey AS k, c_nationkey AS nk, 'established-' AS e FROM customer),
+r AS (SELECT k AS pos, 'created' AS outcome, e || k AS uid, CASE WHEN k % 10 = 0 OR k = (SELECT min(k) FROM c) THEN 'n' || nk ELSE e || (k - 1) END AS parent_uid, 0 AS proper_flags FROM c
+UNION ALL SELECT k + 1000000000, 'found', e || k, CASE WHEN k % 10 = 0 OR k = (SELECT min(k) FROM c) THEN 'n' || nk ELSE e || (k - 1) END, 0 FROM c WHERE k % 7 = 0
+UNION ALL SELECT k + 2000000000, 'created', e || (k + 2000000000), 'n' || nk, 64 FROM c WHERE k % 13 = 0
+UNION ALL SELECT s_suppkey + 3000000000, CASE WHEN s_suppkey % 5 = 0 THEN 'conflict' ELSE 'found' END, CASE WHEN s_suppkey % 5 <> 0 THEN 's' || s_suppkey END, CASE WHEN s_suppkey % 5 <> 0 THEN 'n' || s_nationkey END, 0 FROM supplier)
+SELECT * FROM r""")
+def m25_establish(spark, d):
+    """Requests against the suppliers' tree, with the node of each and where it lies."""
+    got = establish.establish(suppliers(spark, d), establish_requests(spark, d))
+    where = got.tax.nodes.select("uid", "parent_uid", "proper_flags")
+    return got.outcomes.join(where, "uid", "left").select("pos", "outcome", "uid", "parent_uid", F.coalesce("proper_flags", F.lit(0)).alias("proper_flags"))
