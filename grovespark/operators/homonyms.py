@@ -139,5 +139,4 @@ def types(pathed: DataFrame, synonyms: DataFrame, counts: DataFrame, divisions:
         .when(a["big"] | b["big"], "internal").when(~a["main"] | ~b["main"], "tip-synonym").when(total < suspect, "tip-duplicate").when(total < true, "tip-suspect").otherwise("tip-true")
     )
     parted = twice.groupBy("name", "mrca", label.alias("type")).agg(F.sum("twice").alias("twice")).where("twice > 0").select("name", "mrca", "type", F.expr("twice div 2").alias("n"))
-    # Roots are siblings of each other, and other trees have no common clade.
-    return parted.union(nested)
+    return parted.union(nested).groupBy("name", "mrca", "type").agg(F.sum("n").alias("n"))
