@@ -1,4 +1,4 @@
-"""Queries of divisions, homonym types and established names over the star tables, with their SQL."""
+"""Queries of divisions, homonym types, established names and dumps over the star tables, with their SQL."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from grovespark.model import BIT
 from grovespark.operators import align, divisions, establish, homonyms, merge, tree
 from grovespark.plans.star import H2, H2_NODES, catalogue, suppliers, table
-from grovespark.storage import settle
+from grovespark.sources import dumps
+from grovespark.storage import scratch, settle
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -121,3 +122,40 @@ def m25_establish(spark, d):
     got = establish.establish(suppliers(spark, d), establish_requests(spark, d))
     where = got.tax.nodes.select("uid", "parent_uid", "proper_flags")
     return got.outcomes.join(where, "uid", "left").select("pos", "outcome", "uid", "parent_uid", F.coalesce("proper_flags", F.lit(0)).alias("proper_flags"))
+
+
+def dump_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Parts as lines of a dump: each has one or two ids; some are of another class and some are cut off."""
+    k = F.col("p_partkey")
+    key = k.cast("string")
+
+    def claim(value):
+        return F.concat(F.lit('{"mainsnak":{"datavalue":{"value":'), value, F.lit("}}}"))
+
+    def text(value):
+        return claim(F.concat(F.lit('"'), value, F.lit('"')))
+
+    taxon = claim(F.lit('{"entity-type":"item","numeric-id":16521}'))
+    classes = F.when(k % 4 == 1, F.concat(F.lit('"P31":['), claim(F.lit('{"numeric-id":5}')), F.lit('],"P9":['), taxon, F.lit("]"))).otherwise(F.concat(F.lit('"P31":[{"mainsnak":{}},'), taxon, F.lit("]")))
+    numbers = F.when(k % 22 == 0, F.concat_ws(",", text(key), text((k + 1).cast("string")))).when(k % 2 == 0, text(key)).otherwise("")
+    page = F.when(k % 6 == 0, F.concat(F.lit(',"P830":['), text(F.concat(F.lit("E"), key)), F.lit("]"))).otherwise("")
+    site = F.when(k % 5 == 0, F.concat(F.lit(',"sitelinks":{"enwiki":{"title":"'), F.col("p_name"), F.lit('"}}'))).otherwise("")
+    line = F.concat(F.lit('{"type":"item","id":"Q'), key, F.lit('","claims":{'), classes, F.lit(',"P685":['), numbers, F.lit('],"P846":['), text(F.concat(F.lit("x"), key)), F.lit("]"), page, F.lit("}"), site, F.lit("},"))
+    return table(spark, d, "part").select(F.when(k % 50 == 0, F.regexp_replace(line, "..$", "")).otherwise(line).alias("line"))
+
+
+@query("""WITH k AS (SELECT p_partkey AS k, p_name, 'Q' || p_partkey AS item, CASE WHEN p_partkey % 6 = 0 THEN 'E' || p_partkey END AS page, CASE WHEN p_partkey % 5 = 0 THEN p_name END AS title_enwiki FROM part WHERE p_partkey % 50 <> 0 AND p_partkey % 4 <> 1)
+SELECT 'p' || k AS uid, item, page, title_enwiki FROM k WHERE k % 2 = 0 OR k % 7 = 0
+UNION ALL SELECT 'p' || (k + 1), item, page, title_enwiki FROM k WHERE k % 22 = 0 AND k + 1 IN (SELECT p_partkey FROM part)""")
+def s28_dump(spark, d):
+    """A dump written from the parts and read as text, against their nodes: every part has a number, each third by way of silva, each seventh another id."""
+    folder = scratch(spark, "dump")
+    dump_lines(spark, d).write.text(folder)
+    k = F.substring("uid", 2, 20).try_cast("long")
+
+    def qid(prefix: str, value):
+        return F.struct(F.lit(prefix).alias("prefix"), value.alias("id"))
+
+    own = F.concat(F.array(qid("ncbi", k.cast("string"))), F.when(k % 3 == 0, F.array(qid("silva", F.concat(F.lit("S"), k.cast("string"))))).otherwise(F.array()), F.when(k % 7 == 0, F.array(qid("gbif", F.concat(F.lit("x"), k.cast("string"))))).otherwise(F.array()))
+    nodes = catalogue(spark, d).nodes.where("uid LIKE 'p%'").withColumn("source_ids", own)
+    return dumps.scan(spark.read.text(folder).withColumnRenamed("value", "line"), nodes, ["enwiki"]).links
