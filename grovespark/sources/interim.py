@@ -8,6 +8,8 @@ from pyspark.sql.window import Window
 
 from grovespark.functions import codecs
 from grovespark.model import RANK_LEVELS, Taxonomy
+from grovespark.operators import lookups, tree
+from grovespark.storage import settle
 
 #: Synonym types that are not names of taxa.
 DROPPED_TYPES = ("type material", "authority", "blast name", "in-part", "valid")
@@ -97,16 +99,31 @@ def read_taxonomy(spark: SparkSession, path: str, idspace: str = "") -> Taxonomy
 
 
 def node_lines(nodes: DataFrame) -> DataFrame:
-    """(value): the text rows of a node table with header (S-11)."""
+    """(value): the text rows of a node table (S-11); unique names and numbers of children are columns that it may have."""
     rank = F.when((F.col("rank") == "no rank") & (F.col("n_children") == 0), "no rank - terminal").otherwise(F.col("rank")) if "n_children" in nodes.columns else F.col("rank")
-    fields = ["uid", F.coalesce("parent_uid", F.lit("")), F.coalesce("name", F.lit("")), rank, codecs.print_qids(F.col("source_ids")), F.lit(""), codecs.print_flags(F.col("proper_flags"), F.col("inferred_flags"))]
+    fields = ["uid", F.coalesce("parent_uid", F.lit("")), F.coalesce("name", F.lit("")), rank, codecs.print_qids(F.col("source_ids")), F.coalesce("unique_name", F.lit("")) if "unique_name" in nodes.columns else F.lit(""), codecs.print_flags(F.col("proper_flags"), F.col("inferred_flags"))]
     return nodes.select(F.concat(F.concat_ws("\t|\t", *fields), F.lit("\t|\t")).alias("value"))
 
 
+def synonym_lines(tax: Taxonomy, unique: DataFrame) -> DataFrame:
+    """(value): the text rows of a synonym table (S-12); its unique name tells the node's, ``unique`` (uid, unique_name). Synonyms without a node or a name are left out."""
+    own = tax.nodes.select("uid", F.col("name").alias("own")).join(unique, "uid", "left")
+    d = tax.synonyms.where("name IS NOT NULL").join(own, "uid")
+    told = F.concat("name", F.lit(" (synonym for "), F.coalesce(F.nullif("unique_name", F.lit("")), "own", "uid"), F.lit(")"))
+    info = codecs.print_qids(F.col("source_ids")) if "source_ids" in tax.synonyms.columns else F.lit("")
+    return d.select(F.concat(F.concat_ws("\t|\t", "name", "uid", F.coalesce("type", F.lit("synonym")), told, F.coalesce(info, F.lit(""))), F.lit("\t|\t")).alias("value"))
+
+
 def write_taxonomy(tax: Taxonomy, path: str) -> None:
-    """Node, synonym and alias tables as text under ``path``; each file with its header (S-11 to S-13)."""
+    """Node, synonym and alias tables as text under ``path``, with unique names; each with its header (S-11 to S-13)."""
     spark = tax.nodes.sparkSession
-    head = spark.createDataFrame([("\t|\t".join(["uid", "parent_uid", "name", "rank", "sourceinfo", "uniqname", "flags", ""]),)], "value string")
-    head.coalesce(1).union(node_lines(tax.nodes)).write.text(f"{path}/taxonomy.tsv")
-    tax.synonyms.select("uid", "name", "type").write.csv(f"{path}/synonyms.tsv", sep="\t", header=True)
+    pathed = settle(tree.with_children(tree.with_path(tax.nodes)))
+    unique = settle(lookups.unique_names(pathed))
+
+    def write(rows: DataFrame, name: str, *header: str) -> None:
+        head = spark.createDataFrame([("\t|\t".join([*header, ""]),)], "value string")
+        head.coalesce(1).union(rows).write.text(f"{path}/{name}.tsv")
+
+    write(node_lines(pathed.join(unique, "uid", "left")), "taxonomy", "uid", "parent_uid", "name", "rank", "sourceinfo", "uniqname", "flags")
+    write(synonym_lines(tax, unique), "synonyms", "name", "uid", "type", "uniqname", "sourceinfo")
     tax.aliases.where("id <> replacement").write.csv(f"{path}/forwards.tsv", sep="\t", header=True)

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from grovespark.functions import codecs
+from grovespark.model import ALIASES, NODES, SYNONYMS, Taxonomy
 from grovespark.operators import tree
 from grovespark.sources import interim
 
@@ -33,3 +34,17 @@ def test_a_row_that_looks_like_a_header_is_a_row(spark, tmp_path):
     (tmp_path / "taxonomy.tsv").write_text("uid\t|\tparent_uid\t|\tname\t|\trank\t|\t\n1\t|\t\t|\tlife\t|\tno rank\t|\t\nuid\t|\t1\t|\tname\t|\tgenus\t|\t\n")
     got = {(r["uid"], r["parent_uid"], r["name"]) for r in interim.read_nodes(spark, str(tmp_path / "taxonomy.tsv")).collect()}
     assert got == {("1", None, "life"), ("uid", "1", "name")}
+
+
+def test_unique_names_are_written(spark, tmp_path):
+    nodes = [("1", None, "life", "no rank", [], 0, 0), ("2", "1", "Plantae", "kingdom", [], 0, 0), ("3", "1", "Animalia", "kingdom", [], 0, 0), ("4", "2", "Aus", "genus", [], 0, 0), ("5", "3", "Aus", "no rank", [{"prefix": "x", "id": "9"}], 0, 0)]
+    tax = Taxonomy(spark.createDataFrame(nodes, NODES), spark.createDataFrame([("4", "Bus", "synonym"), ("3", "Metazoa", None), ("8", "Lost", "synonym"), ("3", None, "synonym")], SYNONYMS), spark.createDataFrame([], ALIASES), "t")
+    interim.write_taxonomy(tax, str(tmp_path / "out"))
+
+    def fields(name):
+        return sorted(tuple(r["value"].split("\t|\t"))[:-1] for r in spark.read.text(str(tmp_path / "out" / name)).collect())
+
+    assert {(f[0], f[3], f[5]) for f in fields("taxonomy.tsv")} == {("uid", "rank", "uniqname"), ("1", "no rank", ""), ("2", "kingdom", ""), ("3", "kingdom", ""), ("4", "genus", "Aus (genus in Plantae)"), ("5", "no rank - terminal", "Aus (in Animalia)")}
+    assert fields("synonyms.tsv") == [("Bus", "4", "synonym", "Bus (synonym for Aus (genus in Plantae))", ""), ("Metazoa", "3", "synonym", "Metazoa (synonym for Animalia)", ""), ("name", "uid", "type", "uniqname", "sourceinfo")]
+    again = interim.read_taxonomy(spark, str(tmp_path / "out"), "t")
+    assert {tuple(r) for r in again.synonyms.collect()} == {("4", "Bus", "synonym"), ("3", "Metazoa", "synonym")}
