@@ -11,8 +11,13 @@ from grovespark.operators.tree import with_path
 
 def read_dump(spark: SparkSession, path: str, *names: str) -> DataFrame:
     """A table whose fields are separated by tab, bar, tab (S-16)."""
-    parts = F.split(F.regexp_replace("value", r"\t\|$", ""), r"\t\|\t")
-    return spark.read.text(path).select(*(F.get(parts, F.lit(i)).alias(n) for i, n in enumerate(names)))
+    return dump_fields(spark.read.text(path), *names)
+
+
+def dump_fields(lines: DataFrame, *names: str) -> DataFrame:
+    """The first fields of ``lines`` (value) by name, without spaces around them; null where a line has fewer (S-16)."""
+    parts = F.split(F.regexp_replace("value", r"\t\|\s*$", ""), r"\t\|\t")
+    return lines.select(*(F.trim(F.get(parts, F.lit(i))).alias(n) for i, n in enumerate(names)))
 
 
 def drop_with_descendants(nodes: DataFrame, roots: DataFrame) -> DataFrame:
