@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from grovespark.functions import codecs, paths
+from grovespark.functions import codecs
 from grovespark.model import BIT
 from grovespark.operators import tree
 
@@ -32,26 +32,55 @@ def name_overlap(src: DataFrame, tgt_names: DataFrame, answers: DataFrame) -> Da
     return j.agg(F.count("*").alias("n"), F.count("common").alias("in_common"), F.count(F.when(F.col("value") > 0, 1)).alias("matched"), F.count(F.when(F.col("common") & ~F.coalesce(F.col("value") > 0, F.lit(False)), 1)).alias("blocked"))
 
 
-def homonym_pairs(pathed: DataFrame) -> DataFrame:
-    """(name, a, b, kind) of nodes with equal names (J-25, A-6): names that occur once never join."""
-    many = pathed.groupBy("name").agg(F.count("*").alias("k")).where("k > 1").select("name")
+def homonym_groups(pathed: DataFrame) -> DataFrame:
+    """(name, kind, clade, n_nodes, first, last): nodes of one name under one parent (``sibling``) or, in several of its children, under one grandparent (``cousin``) (J-25, A-6).
+
+    A row stands for all pairs of its nodes, but for those of cousins that are siblings; ``first`` and ``last`` are its least and greatest uid.
+    """
+    many = pathed.where("name IS NOT NULL").groupBy("name").agg(F.count("*").alias("k")).where("k > 1").select("name")
     own = pathed.join(many, "name", "left_semi").select("name", "uid", "parent_uid", F.get("path", F.size("path") - 3).alias("grand"))
-    x, y = own.select("name", *(F.col(c).alias(f"{c}_a") for c in own.columns[1:])), own.select("name", *(F.col(c).alias(f"{c}_b") for c in own.columns[1:]))
-    p = x.join(y, "name").where("uid_a < uid_b")
-    kind = (
-        F.when(F.col("parent_uid_a").eqNullSafe(F.col("parent_uid_b")), "sibling").when((F.col("uid_a") == F.col("parent_uid_b")) | (F.col("uid_b") == F.col("parent_uid_a")), "parent/child")
-        .when((F.col("grand_a") == F.col("parent_uid_b")) | (F.col("grand_b") == F.col("parent_uid_a")), "aunt/niece").when(F.col("grand_a") == F.col("grand_b"), "cousin").otherwise("other")
-    )
-    return p.select("name", F.col("uid_a").alias("a"), F.col("uid_b").alias("b"), kind.alias("kind"))
+    ends = [F.count("*").alias("n_nodes"), F.min("uid").alias("first"), F.max("uid").alias("last")]
+    siblings = own.groupBy("name", F.lit("sibling").alias("kind"), F.col("parent_uid").alias("clade")).agg(*ends).where("n_nodes > 1")
+    cousins = own.where("grand IS NOT NULL").groupBy("name", F.lit("cousin").alias("kind"), F.col("grand").alias("clade")).agg(*ends, F.min("parent_uid").alias("low"), F.max("parent_uid").alias("high")).where("low < high")
+    return siblings.union(cousins.drop("low", "high"))
+
+
+def homonym_kinds(pathed: DataFrame) -> DataFrame:
+    """(name, kind, n): how many pairs of nodes of one name are siblings, parent and child, aunt and niece, cousins, or other (J-25, A-6).
+
+    Pairs are counted from the sizes of groups and never made: a name with k nodes gives at most 6 k rows. Nodes without a
+    parent count as siblings; a node without a name has no homonyms.
+    """
+    many = pathed.where("name IS NOT NULL").groupBy("name").agg(F.count("*").alias("k")).where("k > 1")
+    own = pathed.join(many.select("name"), "name", "left_semi").select("name", "uid", "parent_uid", F.get("path", F.size("path") - 3).alias("grand"))
+    by_parent = own.groupBy("name", "parent_uid", "grand").agg(F.count("*").alias("m"))
+    pairs = F.expr("m * (m - 1) div 2")
+    siblings = by_parent.select("name", F.lit("sibling").alias("kind"), pairs.alias("n"))
+    # A parent of the name has one row for each child of the name.
+    below = own.select("name", "uid").join(by_parent.select("name", F.col("parent_uid").alias("uid"), "m"), ["name", "uid"])
+    children = below.select("name", F.lit("parent/child").alias("kind"), F.col("m").alias("n"))
+    # Children of the grandparent, without the parent itself, if it has the name.
+    by_clade = own.groupBy("name", "parent_uid").agg(F.count("*").alias("c"))
+    nieces = by_parent.join(by_clade.select("name", F.col("parent_uid").alias("grand"), "c"), ["name", "grand"]).select("name", F.lit("aunt/niece").alias("kind"), F.expr("m * c").alias("n"))
+    own_parent = below.join(own.where("parent_uid IS NOT NULL").select("name", "uid"), ["name", "uid"], "left_semi").select("name", F.lit("aunt/niece").alias("kind"), F.expr("-m").alias("n"))
+    by_grand = by_parent.where("grand IS NOT NULL").groupBy("name", "grand").agg(F.sum("m").alias("m"), F.sum(pairs).alias("near"))
+    cousins = by_grand.select("name", F.lit("cousin").alias("kind"), (pairs - F.col("near")).alias("n"))
+    told = siblings.union(children).union(nieces).union(own_parent).union(cousins).groupBy("name", "kind").agg(F.sum("n").alias("n"))
+    rest = many.join(told.groupBy("name").agg(F.sum("n").alias("told")), "name").select("name", F.lit("other").alias("kind"), F.expr("k * (k - 1) div 2 - told").alias("n"))
+    return told.union(rest).where("n > 0")
 
 
 def homonym_report(pathed: DataFrame, counts: DataFrame) -> DataFrame:
-    """(name, a, b, mrca, size_a, size_b) of homonym pairs that meet above both (A-7)."""
-    p = homonym_pairs(pathed).select("name", "a", "b")
-    path, size = pathed.select("uid", "path"), counts.select("uid", "n_nodes")
-    for side in "ab":
-        p = p.join(path.select(F.col("uid").alias(side), F.col("path").alias(f"path_{side}")), side).join(size.select(F.col("uid").alias(side), F.col("n_nodes").alias(f"size_{side}")), side)
-    return p.where(paths.divergence("path_a", "path_b").isNotNull()).select("name", "a", "b", paths.mrca("path_a", "path_b").alias("mrca"), "size_a", "size_b")
+    """(name, mrca, n, sizes): how many pairs of nodes of one name meet at ``mrca``, above both, and the sum of both sizes over these pairs (A-7).
+
+    Nodes are counted by clade and child, so a name with k nodes gives at most k times depth rows. Nodes of different trees don't meet.
+    """
+    many = pathed.where("name IS NOT NULL").groupBy("name").agg(F.count("*").alias("k")).where("k > 1").select("name")
+    own = pathed.join(many, "name", "left_semi").join(counts.select("uid", F.col("n_nodes").alias("size")), "uid")
+    steps = own.select("name", "size", F.col("path").alias("p"), F.posexplode("path").alias("at", "child")).where("at > 0").select("name", "size", "child", F.get("p", F.col("at") - 1).alias("mrca"))
+    by_child = steps.groupBy("name", "mrca", "child").agg(F.count("*").alias("k"), F.sum("size").alias("s"))
+    met = by_child.groupBy("name", "mrca").agg(F.sum("k").alias("k"), F.expr("sum(k * k)").alias("same"), F.sum("s").alias("s"), F.expr("sum(s * k)").alias("own"))
+    return met.where("k * k > same").select("name", "mrca", F.expr("(k * k - same) div 2").alias("n"), F.expr("s * k - own").alias("sizes"))
 
 
 def spelling_variants(nodes: DataFrame) -> DataFrame:

@@ -164,14 +164,14 @@ HOM = H2 + ", x AS (SELECT name, uid, parent_uid, path, depth FROM t), y AS (SEL
 
 @query(HOM + " SELECT name, CASE WHEN sib THEN 'sibling' WHEN cou THEN 'cousin' ELSE 'other' END AS kind, count(*) AS n FROM y GROUP BY 1, 2")
 def a6_homonyms(spark, d):
-    return reports.homonym_pairs(settle(pathed2(spark, d))).groupBy("name", "kind").agg(F.count("*").alias("n"))
+    return reports.homonym_kinds(settle(pathed2(spark, d)))
 
 
 @query(HOM + " SELECT name, count(*) AS n, count(DISTINCT CASE WHEN sib THEN pa[len(pa) - 1] WHEN cou THEN pa[len(pa) - 2] ELSE 'life' END) AS n_mrca, CAST(sum(2) AS BIGINT) AS sizes FROM y GROUP BY 1")
 def a7_homonym_report(spark, d):
     p = settle(pathed2(spark, d))
     r = reports.homonym_report(p, settle(tree.subtree_counts(p)))
-    return r.groupBy("name").agg(F.count("*").alias("n"), F.count_distinct("mrca").alias("n_mrca"), F.sum(F.col("size_a") + F.col("size_b")).alias("sizes"))
+    return r.groupBy("name").agg(F.sum("n").alias("n"), F.count_distinct("mrca").alias("n_mrca"), F.sum("sizes").alias("sizes"))
 
 
 @query(H1 + " SELECT path[2] AS division, arg_max(uid, {'l': -length(name), 'u': uid}) AS uid FROM t WHERE rank = 'species' GROUP BY 1")

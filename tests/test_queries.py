@@ -9,7 +9,7 @@ from grovespark.plans import curation_queries, division_queries, growth_queries,
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents".split()
-NAMES = ["clade_summary", "h6_pair_mrca", "h20_brackets", "f3_extinct_up", "f5_sibling_ranks", "a13_release_diff", "a17_contributions", "i5_mint", "m18_smush", "s21_lineage_nodes", "c4_articulations", "a1_event_counts", *lookup_queries.QUERIES, *curation_queries.QUERIES, *growth_queries.QUERIES, *division_queries.QUERIES, *import_queries.QUERIES]
+NAMES = ["clade_summary", "h6_pair_mrca", "h20_brackets", "f3_extinct_up", "f5_sibling_ranks", "a13_release_diff", "a17_contributions", "i5_mint", "m18_smush", "s21_lineage_nodes", "c4_articulations", "a1_event_counts", "a6_homonyms", "a7_homonym_report", *lookup_queries.QUERIES, *curation_queries.QUERIES, *growth_queries.QUERIES, *division_queries.QUERIES, *import_queries.QUERIES]
 
 
 def rows(frame):
