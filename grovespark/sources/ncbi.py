@@ -58,7 +58,8 @@ def _lineage_names(state: DataFrame) -> DataFrame:
     The ancestor is the topmost below the last one that was renamed for its genus. Only nodes with such an ancestor meet all of their line.
     """
     stands = state.where("fate IN ('kept', 'renamed')")
-    several = stands.groupBy("name").agg(F.count("*").alias("k")).where("k > 1").select("name")
+    # A written table of names is joined by itself, so that a name with many nodes is split where it is skewed.
+    several = settle(stands.groupBy("name").agg(F.count("*").alias("k")).where("k > 1").select("name"))
     own = stands.where("fate = 'kept'").join(several, "name", "left_semi").select("uid", "name", "rank", F.slice("path", F.lit(1), F.size("path") - 1).alias("line"))
     above = stands.join(several, "name", "left_semi").select(F.col("uid").alias("anc"), "name")
     met = own.select("uid", "name", F.explode("line").alias("anc")).join(above, ["anc", "name"]).select("uid").distinct()
