@@ -222,6 +222,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     total = tokens.agg(F.sum("n")).first()[0] or 0
     shared = held = work.save(spread_join(entries, tokens.select("token"), ["token"], "left_semi", counts=tokens, total=total), "shared")
     work.drop(entries)
+    work.settle()
 
     # A pair that shares s prefix shingles shares at most s and what follows the prefix in one of the two sets.
     rest = f"({percent} * n + 99) div 100 - matches"
@@ -244,6 +245,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     by_id = several.join(several.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id").where("rep <> a").select("a", F.col("rep").alias("b"))
     stars = work.save(_verified(pairs, sets, percent).union(by_id), "links")
     work.drop(hubs, pairs, sets)
+    work.settle()
     labels = work.save(components(stars, work), "components")
 
     # What is left: prefix shingles that hold more than one component, and the sets of their documents.
@@ -258,6 +260,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     labelled_short = labelled.withColumn("short", F.expr(f"pos < n - ({2 * percent} * n + {99 + percent}) div {100 + percent} + matches"))
     own = apart(labelled_short)
     work.drop(labelled)
+    work.settle()
     mine = ["rep", "n", "matches", "c", "pos", "short"]
     side = reps.select("rep", "prefix", F.expr(f"({percent} * n_shingles + 99) div 100 - matches").alias("rest"))
 
@@ -279,10 +282,12 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
             counted = counted.join(done.select("a", "b"), ["a", "b"], "left_anti")
         counted = work.save(counted, "candidates")
         checked.append(counted)
+        work.settle()
         sets = _whole_sets(docs, counted.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), reps, k, work)
         found = _verified(counted, sets, percent)
         out = work.save(found.select(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).distinct(), "joined")
         work.drop(sets)
+        work.settle()
         return out
 
     # Stars again, between components: each shingle of many documents picks a few of them at random for the others, so that
@@ -312,6 +317,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
             own = moved
     merged = labels
     work.drop(own, *checked)
+    work.settle()
 
     # A component is called by the smallest id in it.
     named = work.save(reps.join(merged, reps["rep"] == merged["node"], "left").select(*SAME, "low", "n_docs", F.coalesce("component", "rep").alias("c")), "named")
