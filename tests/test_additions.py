@@ -129,3 +129,15 @@ def test_stream_out_of_order_and_restarted(spark, tmp_path):
     texts = json.loads(json.dumps(docs), parse_int=str)
     assert got == one_by_one(texts) and stream.state(spark, folder, "waiting").count() == 0
     assert sorted(r["uid"] for r in stream.state(spark, folder, "created").collect()) == ["100", "101", "102", "103"]
+
+
+def test_the_plan_of_waiting_rows_grows_with_the_rounds(spark):
+    """A chain of documents, each under the one before and with a row by tag, waits whole for its first parent."""
+    def plan(n: int) -> int:
+        docs = [{"id": f"additions-{i}", "user_agent": "a", "taxa": [{"tag": "a", "ott_id": str(100 + i), "name": f"n{i}", "parent": str(99 + i)}, {"tag": "b", "ott_id": str(200 + i), "name": "m", "parent_tag": "a"}]} for i in range(1, n + 1)]
+        tax, divisions = base(spark)
+        a = additions.apply(additions.log_rows(frame(spark, docs)), additions.known(tax, divisions), wait=True)
+        assert a.outcomes.count() == 0 and a.waiting.count() == 2 * n
+        return a.waiting._jdf.queryExecution().analyzed().treeString().count("\n")
+
+    assert plan(6) < 3 * plan(3)
