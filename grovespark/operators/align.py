@@ -46,6 +46,36 @@ def candidates(src: Taxonomy, tgt: Taxonomy) -> DataFrame:
     return found.union(by_gender).groupBy("src", "tgt").agg(F.concat_ws(" ", F.sort_array(F.collect_list("mode"))).alias("modes"))
 
 
+def candidate_counts(src: Taxonomy, tgt: Taxonomy) -> DataFrame:
+    """(src, n): how many ``candidates`` each source node has, without the pairs.
+
+    The nodes of a name are counted once for all sources that have it. What several names of a source find twice is taken off by sets of names:
+    nodes are counted by the pairs of names that they bear, so only names that some node bears together meet.
+    """
+    own, other = settle(names(src, common=False).select(F.col("uid").alias("src"), "name").distinct()), settle(names(tgt).select(F.col("uid").alias("tgt"), "name").distinct())
+    size = settle(other.groupBy("name").agg(F.count("*").alias("n")))
+
+    def several(nodes: DataFrame, uid: str) -> DataFrame:
+        return nodes.groupBy(uid).agg(F.sort_array(F.collect_list("name")).alias("all")).where("size(all) > 1")
+
+    # The k common names of a node and a source count k times there, and should count once.
+    mine = settle(several(own, "src"))
+    kinds_s = mine.select("all").distinct().select(F.col("all").alias("all_s"))
+    kinds_t = several(other, "tgt").groupBy(F.col("all").alias("all_t")).agg(F.count("*").alias("nodes"))
+    meet = kinds_s.select("all_s", F.explode("all_s").alias("name")).join(kinds_t.select("all_t", "nodes", F.explode("all_t").alias("name")), "name")
+    twice = meet.groupBy("all_s", "all_t").agg(F.first("nodes").alias("nodes"), F.count("*").alias("k")).where("k > 1").groupBy("all_s").agg(F.sum(-F.col("nodes") * (F.col("k") - 1)).alias("n"))
+    twice = mine.join(twice, F.col("all") == F.col("all_s")).select("src", "n")
+    by_name = own.join(size, "name").select("src", "n")
+
+    ids = src.nodes.select(F.col("uid").alias("src"), F.explode("source_ids").alias("q")).select("src", codecs.print_qid(F.col("q")).alias("qid"))
+    by_id = settle(ids.join(unique_qids(tgt.nodes).withColumnRenamed("uid", "tgt"), "qid").select("src", "tgt").distinct())
+    named = by_id.join(own, "src").join(other, ["tgt", "name"], "left_semi").select("src", "tgt")
+    by_id_alone = by_id.join(named, ["src", "tgt"], "left_anti").select("src", F.lit(1).cast("long").alias("n"))
+    found = settle(by_name.union(twice).union(by_id_alone).groupBy("src").agg(F.sum("n").alias("n")))
+    without = src.nodes.select(F.col("uid").alias("src"), codecs.gender_variant(F.col("name")).alias("name")).where("name IS NOT NULL").distinct().join(found, "src", "left_anti")
+    return found.union(without.join(size, "name").groupBy("src").agg(F.sum("n").alias("n")))
+
+
 def described(pathed: DataFrame, other: Taxonomy, divisions: DataFrame | None, side: str) -> DataFrame:
     """What the heuristics need of each node, with names that end in ``side``.
 
