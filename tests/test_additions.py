@@ -141,3 +141,28 @@ def test_the_plan_of_waiting_rows_grows_with_the_rounds(spark):
         return a.waiting._jdf.queryExecution().analyzed().treeString().count("\n")
 
     assert plan(6) < 3 * plan(3)
+
+
+def test_a_tag_has_the_division_of_a_node_that_was_found_by_name(spark):
+    """The row below a tag looks for its name in the division of the tag's node, whose id no row mentions."""
+    docs = [{"id": "additions-1", "user_agent": "a", "taxa": [{"tag": "a", "ott_id": "100", "name": "felis", "parent": "3"}, {"tag": "b", "ott_id": "101", "name": "rosa", "parent_tag": "a"}]}]
+    tax, divisions = base(spark)
+    got = sorted((tuple(r) for r in additions.add(tax, frame(spark, docs), divisions)[1].collect()), key=repr)
+    assert got == one_by_one(docs) and got[1][3:] == ("matched", "5")
+
+
+def test_rows_to_which_none_refers_are_looked_at_once(spark, monkeypatch):
+    """A chain of documents, each with rows that only it has a use for."""
+    docs = [{"id": f"additions-{i}", "user_agent": "a", "taxa": [{"tag": "a", "ott_id": str(100 + i), "name": f"n{i}", "parent": str(99 + i) if i else "2"}, *({"tag": f"l{j}", "ott_id": str(1000 + 100 * i + j), "name": f"leaf {j % 7}", "parent_tag": "a"} for j in range(20))]} for i in range(4)]
+    looked, real = [], additions.Pile.add
+
+    def add(pile, part):
+        out = real(pile, part)
+        if "ready" in out.columns and "outcome" not in out.columns:
+            looked.append(out.count())
+        return out
+
+    monkeypatch.setattr(additions.Pile, "add", add)
+    tax, divisions = base(spark)
+    got = sorted((tuple(r) for r in additions.add(tax, frame(spark, docs), divisions)[1].collect()), key=repr)
+    assert got == one_by_one(docs) and looked == [4, 3, 2, 1, 80]
